@@ -49,8 +49,8 @@ def compare(spark, con, sf_dir, name):
         return True, len(mine[1]), took, ""
     if mine[0] != other[0]:
         return False, len(mine[1]), took, f"columns {mine[0]} != {other[0]}"
-    only_mine = [r for r in mine[1] if r not in set(other[1])][:2]
-    only_other = [r for r in other[1] if r not in set(mine[1])][:2]
+    only_mine = sorted(set(mine[1]) - set(other[1]), key=repr)[:2]
+    only_other = sorted(set(other[1]) - set(mine[1]), key=repr)[:2]
     return False, len(mine[1]), took, f"{mine[0]} rows {len(mine[1])}/{len(other[1])}\n  spark {only_mine}\n  sql   {only_other}"
 
 

@@ -124,7 +124,8 @@ def combine(gates: DataFrame, key: list[str], runs: DataFrame | None = None) ->
     mean = F.when(F.col("n_blocking") == 0, F.col("_mean")).otherwise(
         ratio(F.col("_weighted"), F.col("_weights"), 0.0)
     )
-    totals = totals.withColumn("weighted_score", F.when(F.col("n_gates") > 0, mean))
+    # sums arrive in any order, so the last bits are dropped before they meet the band limits
+    totals = totals.withColumn("weighted_score", F.when(F.col("n_gates") > 0, F.round(mean, 12)))
     total = F.col("weighted_score")
     all_pass = F.col("_combination") == "all_pass"
     any_pass = F.col("_combination") == "any_pass"

@@ -89,7 +89,11 @@ def gate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(line % 4 == 0, "behavioral").when(line % 4 == 1, "engine").when(line % 4 == 2, "security").otherwise("quality")
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("scorecard_id"),
-        (line.cast("bigint") * 100_000_000 + F.col("l_partkey")).alias("gate_order"),
+        (
+            line.cast("bigint") * 100_000_000_000_000
+            + F.col("l_partkey") * 1_000_000
+            + F.round(F.col("l_extendedprice") * 100).cast("bigint") % 1_000_000
+        ).alias("gate_order"),
         kind.alias("gate_type"),
         F.when(kind == "engine", "evaluation").otherwise(kind).alias("gate_name"),
         (F.col("l_returnflag") != "R").alias("passed"),
@@ -98,3 +102,114 @@ def gate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == "behavioral", F.col("l_quantity").cast("int")).alias("edge_total"),
         F.when(kind == "behavioral", (F.col("l_quantity") * (1.0 - F.col("l_tax") * 8)).cast("int")).alias("edge_passed"),
     )
+
+
+def scan_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One scan artifact per order, with findings from its line items; some are absent or corrupt.
+
+    Severities come in odd spelling and fields under both of their names, as scanners write them.
+    """
+    line = F.col("l_linenumber")
+    words = F.array(*[F.lit(w) for w in ("critical", "HIGH ", "medium", "Low", "info", "strange")])
+    finding = F.concat(
+        F.lit('{"severity":"'), F.element_at(words, (line % 6 + 1).cast("int")), F.lit('",'),
+        F.when(line % 2 == 0, F.lit('"rule_id":"r')).otherwise(F.lit('"id":"r')), line.cast("string"), F.lit('",'),
+        F.when(line % 3 == 0, F.lit('"message":"m"')).otherwise(F.lit('"description":"d"')),
+        F.when(line % 2 == 0, F.lit(',"file_path":"a.md"}')).otherwise(F.lit(',"location":{"file":"b.md"}}')),
+    )
+    bodies = table(spark, sf_dir, "lineitem").where("l_quantity > 30").groupBy("l_orderkey").agg(
+        F.concat(F.lit('{"findings":['), F.array_join(F.collect_list(finding), ","), F.lit("]}")).alias("_body")
+    )
+    orders = table(spark, sf_dir, "orders")
+    number = F.col("o_orderkey")
+    text = (
+        F.when(number % 13 == 5, F.lit(None).cast("string"))
+        .when(number % 11 == 3, F.lit('{"findings": [oops'))
+        .otherwise(F.coalesce("_body", F.lit('{"findings":[]}')))
+    )
+    status = F.col("o_orderstatus")
+    return orders.join(bodies, number == F.col("l_orderkey"), "left").select(
+        number.alias("scorecard_id"),
+        F.when(status == "F", "block").when(status == "O", "warn").otherwise("disabled").alias("mode"),
+        text.alias("artifact_text"),
+    )
+
+
+def review_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One quality review per order, with two dimensions scored from its price."""
+    number, cents = F.col("o_orderkey"), F.col("o_orderkey") % 100
+    clarity, safety = (cents / 100.0), ((cents * 7) % 100 / 100.0)
+    status = F.col("o_orderstatus")
+    body = F.concat(
+        F.lit('{"overall_score":'), ((clarity + safety) / 2).cast("string"),
+        F.lit(',"recommendation":"'), F.when(number % 4 == 0, "fail").when(number % 4 == 1, "warn").otherwise("pass"),
+        F.lit('","dimensions":{"clarity":{"score":'), clarity.cast("string"), F.lit(',"finding":"unclear"},"safety":{"score":'),
+        safety.cast("string"), F.lit(',"finding":"'), F.when(number % 5 == 0, "").otherwise("risky"), F.lit('"}}}'),
+    )
+    return table(spark, sf_dir, "orders").select(
+        number.alias("scorecard_id"),
+        F.when(status == "F", "block").when(status == "O", "warn").otherwise("disabled").alias("mode"),
+        F.when(number % 9 == 0, 0.75).alias("policy_threshold"),
+        F.when(number % 17 == 2, None).when(number % 19 == 4, "{").otherwise(body).alias("artifact_text"),
+    )
+
+
+def edge_case_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One report per order with ``o_orderkey % 5`` edge cases."""
+    number = F.col("o_orderkey")
+    passed = F.when(number % 5 == 0, F.array().cast("array<string>")).otherwise(
+        F.transform(
+            F.sequence(F.lit(1), F.greatest(F.lit(1), (number % 5).cast("int"))),
+            lambda i: F.when((number + i) % 3 == 0, '{"name":"e","passed":false}').otherwise('{"name":"e","passed":true}'),
+        )
+    )
+    status = F.col("o_orderstatus")
+    return table(spark, sf_dir, "orders").select(
+        number.alias("scorecard_id"),
+        F.when(status == "F", "block").when(status == "O", "warn").otherwise("disabled").alias("mode"),
+        F.when(number % 3 == 0, 0.0).when(number % 3 == 1, 0.7).cast("double").alias("policy_threshold"),
+        F.when(number % 17 == 2, None)
+        .when(number % 19 == 4, "{")
+        .otherwise(F.concat(F.lit('{"edge_case_results":['), F.array_join(passed, ","), F.lit("]}")))
+        .alias("artifact_text"),
+    )
+
+
+def certification_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run facts per order: validation, assets, operational policy and behavioural inputs."""
+    number, price = F.col("o_orderkey"), F.col("o_totalprice")
+    names = F.array(*[F.lit(p) for p in ("skill", "mcp_server", "plugin", "agent", "full")])
+    return table(spark, sf_dir, "orders").select(
+        number.alias("scorecard_id"),
+        F.concat(F.lit("sub-"), "o_custkey").alias("submission_name"),
+        F.when(number % 6 < 5, F.element_at(names, (number % 6 + 1).cast("int"))).alias("profile"),
+        (number % 8 != 0).alias("validation_passed"),
+        (number % 9 != 0).alias("metadata_valid"),
+        (number % 7 != 0).alias("has_eval_assets"),
+        F.when(number % 10 != 0, number % 10 != 1).alias("operational_passed"),
+        F.when(number % 10 != 0, F.lit(1.0) - (number % 3) * 0.15).alias("operational_score"),
+        F.when(number % 4 != 0, (number % 50) / 100.0).alias("std_reward"),
+        F.when(number % 3 != 0, (number % 20) / 100.0).alias("score_variance"),
+        F.when(number % 3 != 0, number % 6).alias("stability_runs"),
+        F.when(number % 5 == 0, (number % 100) / 100.0).alias("failure_mode_score"),
+        F.when(number % 15 == 0, 0.3).cast("double").alias("failure_mode_threshold"),
+    )
+
+
+def certification_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Own policies of a tenth of the customers' submissions."""
+    number = F.col("c_custkey")
+    none = F.lit(None).cast("array<string>")
+    nothing = F.lit(None).cast("map<string,double>")
+    return table(spark, sf_dir, "customer").where(number % 10 == 0).select(
+        F.concat(F.lit("sub-"), number).alias("submission_name"),
+        F.when(number % 20 == 0, F.array(F.lit("basic_security_validation"), F.lit("data_privacy_pii_handling")))
+        .otherwise(F.array(F.lit("basic_security_validation"))).alias("foundational_checks"),
+        none.alias("trusted_checks"),
+        F.when(number % 30 == 0, F.array().cast("array<string>")).otherwise(none).alias("certified_checks"),
+        F.create_map(F.lit("instruction_quality"), F.lit(0.2), F.lit("advanced_agent_validation"), F.lit(0.4))
+        .alias("foundational_thresholds"),
+        F.when(number % 20 == 0, F.create_map(F.lit("instruction_quality"), F.lit(0.9))).otherwise(nothing)
+        .alias("trusted_thresholds"),
+        nothing.alias("certified_thresholds"),
+    )
