@@ -6,7 +6,7 @@ import importlib
 
 from trialmill.plans.registry import Query
 
-MODULES = ("run_queries", "gate_queries")
+MODULES = ("run_queries", "gate_queries", "text_queries")
 
 
 def _registries():
