@@ -117,26 +117,30 @@ def single_gate(runs: DataFrame, key: list[str], order: int = 0) -> DataFrame:
 
 
 def task_run_gate(runs: DataFrame, key: list[str], order: int = 0) -> DataFrame:
-    """Share of passed tasks against 0.7; failed and errored tasks become findings.
+    """Share of passed tasks against 0.7, for rows of :func:`trialmill.operators.taskrun.task_run_totals`.
 
-    ``tasks`` is the run's array of task structs (task_id, task_name, status, error_message).
+    The findings themselves are rows of :func:`task_findings`; here only their number is kept, so a run
+    with very many tasks is never gathered.
     """
     threshold = F.coalesce("policy_threshold", F.lit(TASK_RUN_THRESHOLD))
-    bad = F.filter("tasks", lambda t: t["status"].isin("failed", "error"))
-    findings = F.transform(
-        bad,
-        lambda t: F.struct(
-            F.when(t["status"] == "error", "high").otherwise("medium").alias("severity"),
-            F.coalesce(
-                F.nullif(t["error_message"], F.lit("")),
-                F.concat(F.lit("Task "), t["status"], F.lit(": "), F.coalesce(t["task_name"], F.lit("unknown"))),
-            ).alias("message"),
-            t["task_id"].alias("location"),
-            F.concat(F.lit("mcpchecker-"), t["status"]).alias("rule_id"),
-        ),
-    )
     score = F.col("overall_score")
-    return _gate(runs, key, "engine", "evaluation", F.col("eval_engine"), order, score >= threshold, score, threshold, findings)
+    counted = runs.withColumn("_found", (F.col("failed_tasks") + F.col("error_tasks")).cast("int"))
+    gate = _gate(counted, [*key, "_found"], "engine", "evaluation", F.col("eval_engine"), order, score >= threshold,
+                 score, threshold, None)
+    return gate.withColumn("findings_count", F.col("_found")).drop("_found")
+
+
+def task_findings(tasks: DataFrame, key: list[str]) -> DataFrame:
+    """Failed (medium) and errored (high) tasks."""
+    status = F.col("status")
+    named = F.concat(F.lit("Task "), status, F.lit(": "), F.coalesce("task_name", F.lit("unknown")))
+    return tasks.where(status.isin("failed", "error")).select(
+        *key,
+        F.when(status == "error", "high").otherwise("medium").alias("severity"),
+        F.coalesce(F.nullif("error_message", F.lit("")), named).alias("message"),
+        F.col("task_id").alias("location"),
+        F.concat(F.lit("mcpchecker-"), status).alias("rule_id"),
+    )
 
 
 def harness_gate(runs: DataFrame, key: list[str], order: int = 0) -> DataFrame:

@@ -6,7 +6,7 @@ import importlib
 
 from trialmill.plans.registry import Query
 
-MODULES = ("run_queries", "gate_queries", "text_queries")
+MODULES = ("run_queries", "gate_queries", "text_queries", "engine_queries")
 
 
 def _registries():
