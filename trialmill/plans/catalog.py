@@ -6,7 +6,14 @@ import importlib
 
 from trialmill.plans.registry import Query
 
-MODULES = ("run_queries", "gate_queries", "text_queries", "engine_queries")
+MODULES = (
+    "run_queries",
+    "gate_queries",
+    "text_queries",
+    "engine_queries",
+    "submission_queries",
+    "storage_queries",
+)
 
 
 def _registries():

@@ -6,6 +6,7 @@ already stored are left out by an anti-join, and duplicates inside one batch are
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,10 +94,12 @@ def children_of(rows: DataFrame, new_parents: DataFrame, key: list[str]) -> Data
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored table, or None before the first write."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-        return None
-    return spark.read.parquet(path)
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def store_runs(runs: DataFrame, trials: DataFrame, folder: str) -> DataFrame:
