@@ -20,7 +20,7 @@ INT_COUNTS = ", ".join(f"{c}::INT AS {c}" for c in PAIRED_COUNTS.split(", "))
 def result_files(spark, sf):
     """One result file per event: nested, flat, corrupt, job-level and wrongly typed documents."""
     k = F.col("event_id")
-    amount = F.format_string("%.2f", F.col("value") / 100)
+    amount = F.format_string("%.2f", (k % 100) / 100.0)
     body = (
         F.when(k % 9 == 0, "{ broken").when(k % 9 == 1, '{"job":1}').when(k % 9 == 2, '{"verifier_result":"text"}')
         .when(k % 9 == 3, '{"verifier_result":{"rewards":{"reward":"x"}}}')
@@ -41,31 +41,31 @@ def result_files(spark, sf):
     """WITH f AS (SELECT user_id, event_id AS k, user_id % 4 = 0 AS single, CASE WHEN user_id % 4 = 0 THEN 'treatment' WHEN event_id % 3 = 0 THEN 'treatment'
           WHEN event_id % 3 = 1 THEN 'control' END AS variant, value FROM events)
        SELECT 'r' || user_id AS pipeline_run_id, 't' || k AS trial_name, variant, single AS single_variant,
-         CASE WHEN k % 9 >= 4 THEN round(value / 100, 2) END AS reward FROM f WHERE variant IS NOT NULL AND k % 9 <> 1""",
+         CASE WHEN k % 9 >= 4 THEN (k % 100) / 100 END AS reward FROM f WHERE variant IS NOT NULL AND k % 9 <> 1""",
 )
 def trial_files(spark, sf):
     df = src.trial_rows(result_files(spark, sf))
-    return df.select("pipeline_run_id", "trial_name", "variant", "single_variant", F.round("reward", 2).alias("reward"))
+    return rounded(df.select("pipeline_run_id", "trial_name", "variant", "single_variant", "reward"))
 
 
 @registry.add(
     "grading_files",
     """SELECT 'r' || user_id AS pipeline_run_id, CASE event_id % 3 WHEN 0 THEN 'treatment' ELSE 'control' END AS variant,
          'iteration-' || (event_id % 5 + 1) || '-' || CASE event_id % 3 WHEN 0 THEN 'treatment' ELSE 'control' END AS trial_name,
-         CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE round(value / 1000, 4) END AS reward
+         CASE WHEN event_id % 7 = 0 THEN 0.0 ELSE (event_id % 100) / 100 END AS reward
        FROM events WHERE event_id % 3 < 2 AND event_id % 5 + 1 <= 3""",
 )
 def grading_files(spark, sf):
     k = F.col("event_id")
     part = F.when(k % 3 == 0, "with_skill").when(k % 3 == 1, "without_skill").otherwise("other")
     body = F.when(k % 7 == 0, '{"summary":{}}').otherwise(
-        F.concat(F.lit('{"summary":{"pass_rate":'), F.format_string("%.4f", F.col("value") / 1000), F.lit("}}"))
+        F.concat(F.lit('{"summary":{"pass_rate":'), F.format_string("%.2f", (k % 100) / 100.0), F.lit("}}"))
     )
     files = rel.table(spark, sf, "events").select(
         F.concat(F.lit("r"), "user_id", F.lit("/iteration-"), k % 5 + 1, F.lit("/e"), k, F.lit("/"), part, F.lit("/grading.json")).alias("path"),
         body.alias("content"),
     )
-    return src.grading_rows(files, 3).withColumn("reward", F.round("reward", 4))
+    return rounded(src.grading_rows(files, 3))
 
 
 @registry.add(
