@@ -8,10 +8,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType, TimestampType
 
 from trialmill.operators.history import DEGRADATION_THRESHOLD, VARIANCE_WINDOW
 
+RECENT = StructType(
+    [StructField("at", TimestampType()), StructField("run_id", StringType()), StructField("score", DoubleType())]
+)
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 OUTPUT = (
     "submission_name string, eval_engine string, current_run_id string, previous_run_id string, "
@@ -31,8 +34,7 @@ class DegradationProcessor(StatefulProcessor):
         self.window = window
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = StructType.fromDDL("at timestamp, run_id string, score double")
-        self.recent = handle.getListState("recent", schema)
+        self.recent = handle.getListState("recent", RECENT)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # one micro-batch of one submission; its size is set by the source's trigger options
