@@ -15,15 +15,42 @@ SPACE = BLANK + TERMINATORS
 FENCE_LINE = rf"(?:\A|(?<=[{TERMINATORS}]))[{BLANK}]*```[^{TERMINATORS}]*(?:{LINE_BREAK}|\z)"
 
 
+# the same characters as text: trimming looks at both ends only, a pattern would walk through everything
+WHITESPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+RARE_TERMINATORS = ("\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x85", "\u2028", "\u2029")
+
+
 def strip(text: Column) -> Column:
     """Without Unicode whitespace at both ends."""
-    return F.regexp_replace(text, rf"\A[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.trim(text, F.lit(WHITESPACE))
+
+
+def contains_any(text: Column, words: tuple[str, ...] | list[str]) -> Column:
+    """Plain substring search; it stops at the first word found."""
+    found = text.contains(words[0])
+    for w in words[1:]:
+        found = found | text.contains(w)
+    return found
+
+
+def folded(text: Column) -> Column:
+    """Lower case in the sense of case-blind patterns, where long s is an s and every i an i."""
+    return F.translate(F.lower(text), "\u017f\u0131\u0307", "si")
 
 
 def lines(text: Column) -> Column:
     """Array of lines; a final terminator does not start another line."""
-    parts = F.split(text, LINE_BREAK, -1)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    parts = F.when(contains_any(text, RARE_TERMINATORS), F.split(text, LINE_BREAK, -1)).otherwise(F.split(text, "\n", -1))
+    return F.filter(parts, lambda x, i: (x != "") | (i < F.size(parts) - 1))
+
+
+def pieces(text: Column) -> Column:
+    """Text between fence lines; every second piece lies inside a fence."""
+    return F.when(text.contains("```"), F.split(text, FENCE_LINE, -1)).otherwise(F.array(text))
 
 
 def strip_fences(text: Column) -> Column:

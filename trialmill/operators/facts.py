@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -99,30 +97,29 @@ def certification_facts(certified: DataFrame, key: list[str], prefix: str, entit
 
     A level whose checks all pass but that is held back by a lower one says so.
     """
-    parts = []
+    entries = []
+
+    def entry(level: str, ref: Column, reason: Column, data: Column) -> Column:
+        return F.struct(
+            F.lit(level).alias("level"), ref.alias("fact_ref"), reason.alias("failure_reason"),
+            _facts(ref, entity, data).alias("payload"),
+        )
+
+    summary = [F.col("highest_level")]
     for level in LEVELS:
         r = F.col(level)
         held = ~r["passed"] & (r["checks_total"] > 0) & (r["checks_passed"] == r["checks_total"])
-        ref = F.lit(f"{prefix}{level}")
         reason = F.when(held, "prerequisite_level_failed")
         data = F.struct(
             F.lit(level).alias("level"), r["passed"].alias("passed"), r["checks_passed"].alias("checks_passed"),
             r["checks_total"].alias("checks_total"), r["overall_score"].alias("overall_score"),
             F.col(f"{level}_checks").alias("checks"), reason.alias("failure_reason"),
         )
-        parts.append(
-            certified.select(*key, F.lit(level).alias("level"), ref.alias("fact_ref"), reason.alias("failure_reason"),
-                             _facts(ref, entity, data).alias("payload"))
-        )
-    ref = F.lit(f"{prefix}certification")
-    fields = [F.col("highest_level")]
-    for level in LEVELS:
-        fields += [F.col(level)["passed"].alias(f"{level}_passed"), F.col(level)["overall_score"].alias(f"{level}_score")]
-    parts.append(
-        certified.select(*key, F.lit("summary").alias("level"), ref.alias("fact_ref"),
-                         F.lit(None).cast("string").alias("failure_reason"), _facts(ref, entity, F.struct(*fields)).alias("payload"))
-    )
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        entries.append(entry(level, F.lit(f"{prefix}{level}"), reason, data))
+        summary += [r["passed"].alias(f"{level}_passed"), r["overall_score"].alias(f"{level}_score")]
+    none = F.lit(None).cast("string")
+    entries.append(entry("summary", F.lit(f"{prefix}certification"), none, F.struct(*summary)))
+    return certified.select(*key, F.inline(F.array(*entries)))
 
 
 def push_outcomes(results: DataFrame, key: list[str]) -> DataFrame:

@@ -39,36 +39,35 @@ def judge_passes(kind: Column, flag: Column, value: Column) -> Column:
 
 
 def judge_rows(cases: DataFrame, key: list[str], per_case: str = "per_case") -> DataFrame:
-    """Cases and their judge entries as rows: case_id, judge, wrapped, kind, flag, value, error.
+    """Cases and their judge entries as rows: case_id, judge, is_object, kind, flag, value, error.
 
-    A case that is not an object, or is empty, keeps one row without a judge.
+    A case that is not an object, or is empty, keeps one row without a judge. ``judged_by`` names the
+    entry that alone decides the findings of its case, null where the judges do.
     """
-    by_case = cases.select(
-        *key, F.explode(F.try_variant_get(per_case, "$", "map<string,variant>")).alias("case_id", "_case")
+    members = "map<string,variant>"
+    df = cases.select(*key, F.explode(F.try_variant_get(per_case, "$", members)).alias("case_id", "_case"))
+    df = df.withColumn("_kind", kind_of(F.col("_case"))).withColumn(
+        "_judges", F.when(F.col("_kind") == "object", F.try_variant_get("_case", "$", members))
     )
-    entries = by_case.select(
-        *key,
-        "case_id",
-        kind_of(F.col("_case")).alias("case_kind"),
-        F.explode_outer(
-            F.when(kind_of(F.col("_case")) == "object", F.try_variant_get("_case", "$", "map<string,variant>"))
-        ).alias("judge", "_entry"),
+    df = df.withColumn(
+        "judged_by",
+        F.when(F.map_contains_key("_judges", "reward"), "reward").when(
+            F.map_contains_key("_judges", "mean_reward"), "mean_reward"
+        ),
+    ).select(*key, "case_id", "judged_by", F.explode_outer("_judges").alias("judge", "_entry"))
+    df = df.withColumn("_kind", kind_of(F.col("_entry"))).withColumn("is_object", F.col("_kind") == "object")
+    inner = F.try_variant_get("_entry", "$.value", "variant")
+    df = df.withColumn("_inner", F.when(F.col("is_object"), inner)).withColumn(
+        "_value", F.coalesce("_inner", "_entry")
     )
-    wrapped = (kind_of(F.col("_entry")) == "object") & F.col("_entry_map").getItem("value").isNotNull()
-    return (
-        entries.withColumn(
-            "_entry_map",
-            F.when(kind_of(F.col("_entry")) == "object", F.try_variant_get("_entry", "$", "map<string,variant>")),
-        )
-        .withColumn("is_object", kind_of(F.col("_entry")) == "object")
-        .withColumn("_value", F.when(wrapped, F.col("_entry_map").getItem("value")).otherwise(F.col("_entry")))
-        .withColumn("kind", kind_of(F.col("_value")))
-        .withColumn("flag", F.when(F.col("kind") == "bool", F.try_variant_get("_value", "$", "boolean")))
-        .withColumn(
-            "value", F.when(F.col("kind").isin("int", "float"), F.try_variant_get("_value", "$", "double"))
-        )
-        .withColumn("error", F.when(F.col("is_object"), F.try_variant_get("_entry", "$.error", "string")))
-        .drop("_entry", "_entry_map", "_value")
+    df = df.withColumn(
+        "kind", F.when(F.col("_inner").isNull(), F.col("_kind")).otherwise(kind_of(F.col("_inner")))
+    )
+    return df.select(
+        *key, "case_id", "judged_by", "judge", "is_object", "kind",
+        F.when(F.col("kind") == "bool", F.try_variant_get("_value", "$", "boolean")).alias("flag"),
+        F.when(F.col("kind").isin("int", "float"), F.try_variant_get("_value", "$", "double")).alias("value"),
+        F.when(F.col("is_object"), F.try_variant_get("_entry", "$.error", "string")).alias("error"),
     )
 
 
@@ -146,21 +145,15 @@ def single_run_findings(judges: DataFrame, key: list[str]) -> DataFrame:
 
     A case with its own ``reward`` or ``mean_reward`` is judged by that number alone.
     """
-    direct = judges.where(F.col("judge").isin("reward", "mean_reward"))
-    by_case = direct.groupBy(*key, "case_id").agg(
-        F.coalesce(
-            F.max(F.when(F.col("judge") == "reward", F.col("value"))),
-            F.max(F.when(F.col("judge") == "mean_reward", F.col("value"))),
-        ).alias("_reward")
-    )
-    low = by_case.where(F.col("_reward") < 0.5).select(
+    own = judges.where((F.col("judge") == F.col("judged_by")) & ~F.col("is_object") & (F.col("value") < 0.5))
+    low = own.select(
         *key,
-        F.when(F.col("_reward") < 0.25, "high").otherwise("medium").alias("severity"),
-        F.format_string("Case %s scored low: reward=%.2f", "case_id", "_reward").alias("message"),
+        F.when(F.col("value") < 0.25, "high").otherwise("medium").alias("severity"),
+        F.format_string("Case %s scored low: reward=%.2f", "case_id", "value").alias("message"),
         F.col("case_id").alias("location"),
         F.lit("aeh-low-reward").alias("rule_id"),
     )
-    nested = judges.where(F.col("is_object")).join(by_case.select(*key, "case_id"), [*key, "case_id"], "left_anti")
+    nested = judges.where(F.col("is_object") & F.col("judged_by").isNull())
     failed = F.col("error").isNotNull() & (F.col("error") != "")
     numeric = F.col("kind").isin("int", "float")
     low_grade = numeric & ~numeric_passes(F.col("kind"), F.col("value"))

@@ -13,6 +13,93 @@ class Rule(NamedTuple):
     pattern: str
     ignore_case: bool = True
 
+    @property
+    def hints(self) -> tuple[str, ...]:
+        """Lower-case words of which a matching line must contain one; empty if unknown."""
+        return HINTS.get(self.label, ())
+
+
+# Words every match of a rule contains. They spare most lines the patterns; rules without an entry
+# are matched by pattern alone.
+HINTS = {
+    "ignore previous instructions": ("previous",),
+    "disregard prior": ("disregard",),
+    "you are now": ("now",),
+    "system prompt override": ("prompt",),
+    "override instructions": ("override",),
+    "new instructions": ("instruction",),
+    "jailbreak attempt": ("anything", "developer"),
+    "prompt leak": ("prompt",),
+    "role hijack": ("forget",),
+    "hidden instruction": ("system", "instruction", "hidden"),
+    "role play": ("pretend",),
+    "encoding evasion": ("base64",),
+    "repeat after me": ("repeat",),
+    "bypass safety": ("safety", "bypass"),
+    "output control": ("exactly",),
+    "markdown image exfiltration": ("](http",),
+    "translate evasion": ("translate",),
+    "~/.ssh/": ("~/.ssh/",),
+    "~/.aws/credentials": ("~/.aws/credentials",),
+    "~/.config/gcloud": ("~/.config/gcloud",),
+    "~/.kube/config": ("~/.kube/config",),
+    "/etc/shadow": ("/etc/shadow",),
+    "~/.netrc": ("~/.netrc",),
+    "~/.env": ("~/.env",),
+    "~/.docker/config.json": ("~/.docker/config.json",),
+    "~/.npmrc": ("~/.npmrc",),
+    "~/.pypirc": ("~/.pypirc",),
+    "API key (AI provider)": ("_api_key",),
+    "AWS secret": ("$aws_",),
+    "database credential": ("$database_url", "$db_password"),
+    "GitHub token": ("$github_token", "$gh_token"),
+    "secret/private key": ("$secret_key", "$private_key"),
+    "Slack token": ("$slack_token",),
+    "Stripe secret": ("$stripe_secret_key",),
+    "JWT secret": ("$jwt_secret",),
+    "encryption key": ("$encryption_key",),
+    "sudo": ("sudo",),
+    "chmod 777": ("chmod",),
+    "chown root": ("chown",),
+    "eval with decode": ("eval",),
+    "char code construction": ("fromcharcode",),
+    "hex escape sequence": ("\\x",),
+    "unicode escape sequence": ("\\u",),
+    "zero-width characters": ("\u200b", "\u200c", "\u200d", "\u200e", "\u200f", "\ufeff"),
+    "python dynamic exec": ("exec",),
+    "char code round-trip": ("charcodeat",),
+    "try to": ("try",),
+    "if possible": ("possible",),
+    "you might want to": ("might",),
+    "perhaps consider": ("perhaps",),
+    "consider using": ("consider",),
+    "if needed": ("needed",),
+    "if appropriate": ("appropriate",),
+    "as necessary": ("necessary",),
+    "if applicable": ("applicable",),
+    "when relevant": ("relevant",),
+    "TODO": ("todo",),
+    "FIXME": ("fixme",),
+    "XXX": ("xxx",),
+    "TBD": ("tbd",),
+    "coming soon": ("coming",),
+    "work in progress": ("progress",),
+    "not yet implemented": ("yet",),
+    "placeholder bracket": ("[insert", "[fill", "[change", "[update", "[replace", "[your"),
+    "PLACEHOLDER": ("[placeholder]",),
+    "follow best practices": ("practices",),
+    "handle errors properly": ("errors",),
+    "write clean code": ("readable",),
+    "ensure code quality": ("quality",),
+    "consider edge cases": ("edge",),
+    "use proper formatting": ("formatting",),
+    "be thorough": ("thorough",),
+    "do not log": ("log",),
+    "disable logging": ("logging",),
+    "suppress output": ("suppress",),
+    "no logging": ("logging",),
+    "turn off log": ("log",),
+}
 
 PROMPT_INJECTION = [
     ("ignore previous instructions", r"ignore\s+(all\s+)?previous\s+instructions"),

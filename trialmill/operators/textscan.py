@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialmill.functions import text as tx
+from trialmill.functions.stats import let
 from trialmill.operators import rules as R
 
 FILE = ["submission_name", "file_path"]
@@ -31,27 +32,45 @@ def regex(rule: R.Rule) -> str:
     return ("(?iU)" if rule.ignore_case else "(?U)") + rule.pattern
 
 
-def any_of(rules: list[R.Rule]) -> str:
-    """One pattern that matches wherever any rule does."""
-    return "(?U)" + "|".join(f"(?i:{r.pattern})" if r.ignore_case else f"(?:{r.pattern})" for r in rules)
+def may_match(text: Column, rules: list[R.Rule]) -> Column:
+    """Whether a text can match any of the rules: by the rules' words, by pattern where a rule has none.
+
+    The folded text is made once per row; a plain column would be copied into every comparison.
+    """
+    words = sorted({h for r in rules for h in r.hints})
+
+    def tests(v: Column) -> Column:
+        found = [tx.contains_any(v["low"], words)] if words else []
+        found += [v["text"].rlike(regex(r)) for r in rules if not r.hints]
+        return reduce(lambda a, b: a | b, found)
+
+    return let({"text": text, "low": tx.folded(text)}, tests)
 
 
 def file_lines(files: DataFrame, rules: list[R.Rule] | None = None) -> DataFrame:
-    """Lines with number and fence state; fence lines themselves are left out."""
-    df = files if rules is None else files.where(F.col("content").rlike(any_of(rules)))
-    pieces = F.split("content", tx.FENCE_LINE, -1)
-    counts = F.transform(pieces, lambda p: F.size(tx.lines(p)))
+    """Lines with number and fence state; fence lines themselves are left out.
+
+    With ``rules``, files and then lines that cannot match any of them are dropped.
+    """
+    df = files
+    if rules is not None:
+        df = files.where(may_match(F.col("content"), rules))
+    counts = F.transform("_pieces", lambda p: F.size(tx.lines(p)))
     offsets = F.aggregate(
         counts, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n + 1))
     )
-    df = df.select(*FILE, F.posexplode(F.arrays_zip(pieces.alias("text"), offsets.alias("offset"))).alias("_piece", "_p"))
+    df = df.withColumn("_pieces", tx.pieces(F.col("content")))
+    df = df.select(
+        *FILE, F.posexplode(F.arrays_zip(F.col("_pieces").alias("text"), offsets.alias("offset"))).alias("_piece", "_p")
+    ).where(F.col("_p.text").isNotNull())
     df = df.select(
         *FILE,
         (F.col("_piece") % 2 == 1).alias("in_fence"),
         F.col("_p.offset").alias("_offset"),
         F.posexplode(tx.lines(F.col("_p.text"))).alias("_n", "line"),
     )
-    return df.select(*FILE, (F.col("_offset") + F.col("_n") + 1).alias("line_no"), "in_fence", "line")
+    lines = df.select(*FILE, (F.col("_offset") + F.col("_n") + 1).alias("line_no"), "in_fence", "line")
+    return lines if rules is None else lines.where(may_match(F.col("line"), rules))
 
 
 def _stripped_starts(prefix: str) -> Column:
@@ -75,21 +94,18 @@ def _every_hit(lines: DataFrame, rules: list[R.Rule]) -> DataFrame:
         )
         for i, r in enumerate(rules)
     ]
-    found = lines.where(F.col("line").rlike(any_of(rules)))
-    return found.withColumn("_hit", F.explode(F.array_compact(F.array(*hits)))).select(
+    return lines.withColumn("_hit", F.explode(F.array_compact(F.array(*hits)))).select(
         *lines.columns, "_hit.*"
     )
 
 
 def _first_hit(lines: DataFrame, rules: list[R.Rule]) -> DataFrame:
     hits = [
-        F.when(
-            F.col("line").rlike(regex(r)), F.struct(F.lit(r.category).alias("category"), F.lit(r.label).alias("label"))
-        )
+        F.when(F.col("line").rlike(regex(r)), F.struct(F.lit(r.category).alias("category"), F.lit(r.label).alias("label")))
         for r in rules
     ]
-    found = lines.where(F.col("line").rlike(any_of(rules)))
-    return found.withColumn("_hit", F.coalesce(*hits)).select(*lines.columns, "_hit.*")
+    found = lines.withColumn("_hit", F.coalesce(*hits)).where(F.col("_hit").isNotNull())
+    return found.select(*lines.columns, "_hit.*")
 
 
 def finding(df: DataFrame, severity: Column, rule_id: Column, message: Column, category: Column, line: Column) -> DataFrame:
