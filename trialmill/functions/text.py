@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from trialmill.functions.stats import let
+
 # Line terminators and the remaining Unicode whitespace
 TERMINATORS = r"\n\r\x{0B}\x{0C}\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}"
 LINE_BREAK = rf"\r\n|[{TERMINATORS}]"
@@ -39,7 +41,12 @@ def contains_any(text: Column, words: tuple[str, ...] | list[str]) -> Column:
 
 def folded(text: Column) -> Column:
     """Lower case in the sense of case-blind patterns, where long s is an s and every i an i."""
-    return F.translate(F.lower(text), "\u017f\u0131\u0307", "si")
+    odd = ("\u017f", "\u0131", "\u0307")
+
+    def fold(v: Column) -> Column:
+        return F.when(contains_any(v["low"], odd), F.translate(v["low"], "".join(odd), "si")).otherwise(v["low"])
+
+    return let({"low": F.lower(text)}, fold)
 
 
 def lines(text: Column) -> Column:

@@ -9,23 +9,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trialmill.functions.stats import ratio
+from trialmill.functions.stats import let, ratio
 
 # Fixed values
 HARNESS_THRESHOLD = 0.5
 
 
 def kind_of(v: Column) -> Column:
-    """``bool``, ``int``, ``float``, ``object`` or ``other``."""
-    schema = F.schema_of_variant(v)
-    return (
-        F.when(v.isNull(), "other")
-        .when(schema == "BOOLEAN", "bool")
-        .when(schema == "BIGINT", "int")
-        .when(schema.startswith("DECIMAL") | schema.isin("DOUBLE", "FLOAT"), "float")
-        .when(schema.startswith("OBJECT"), "object")
-        .otherwise("other")
-    )
+    """``bool``, ``int``, ``float``, ``object`` or ``other``; the value's schema is worked out once."""
+
+    def name(x: Column) -> Column:
+        schema = x["schema"]
+        return (
+            F.when(schema == "BOOLEAN", "bool")
+            .when(schema == "BIGINT", "int")
+            .when(schema.startswith("DECIMAL") | schema.isin("DOUBLE", "FLOAT"), "float")
+            .when(schema.startswith("OBJECT"), "object")
+            .otherwise("other")
+        )
+
+    return F.when(v.isNull(), "other").otherwise(let({"schema": F.schema_of_variant(v)}, name))
 
 
 def numeric_passes(kind: Column, value: Column) -> Column:

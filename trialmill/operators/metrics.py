@@ -13,16 +13,15 @@ def token_usage(calls: DataFrame, key: list[str]) -> DataFrame:
     """Tokens and calls per phase and per run (null phase); the run's model is the first, a phase's the last."""
     named = F.when(F.col("model") != "", F.col("model"))
     seq = F.when(named.isNotNull(), F.col("seq"))
-    rolled = calls.rollup(*key, "phase").agg(
-        F.grouping_id().alias("_level"),
+    rolled = calls.groupingSets([[*key, "phase"], key], *key, "phase").agg(
+        F.grouping("phase").alias("_level"),
         F.sum("prompt_tokens").alias("prompt_tokens"),
         F.sum("completion_tokens").alias("completion_tokens"),
         F.count(F.lit(1)).alias("call_count"),
         F.min_by(named, seq).alias("_first"),
         F.max_by(named, seq).alias("_last"),
     )
-    # one bit per grouped column: 0 is a phase of a run, 1 a whole run
-    return rolled.where(F.col("_level") <= 1).select(
+    return rolled.select(
         *key,
         "phase",
         "prompt_tokens",

@@ -220,9 +220,13 @@ def first_cases(cases: DataFrame, key: list[str], limit: int = CASES_SHOWN) -> D
 def review_input(files: DataFrame, limit: int = REVIEW_CHARS) -> DataFrame:
     """Files in name order up to, not including, the first one that would exceed the character limit.
 
-    Only names and lengths are shuffled, the texts stay where they are: a running sum never falls, so
-    the first overflow ends the list.
+    Only names and lengths are shuffled. Of the files with any text at most ``limit`` can fit, so the rank
+    filter, which also works before the shuffle, bounds what one submission sends to the running sum; the
+    sum only tells where to stop, and every file before that name is kept.
     """
     order = W.partitionBy(SUB).orderBy("file_path")
     sizes = scanned_files(files).select(SUB, "file_path", F.length("content").alias("n_chars"))
-    return sizes.withColumn("upto", F.sum("n_chars").over(order)).where(F.col("upto") <= limit)
+    first = sizes.where("n_chars > 0").withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= limit + 1)
+    over = first.withColumn("_upto", F.sum("n_chars").over(order)).where(F.col("_upto") > limit)
+    stop = over.groupBy(SUB).agg(F.min("file_path").alias("_stop"))
+    return sizes.join(stop, SUB, "left").where(F.col("_stop").isNull() | (F.col("file_path") < F.col("_stop"))).drop("_stop")

@@ -265,10 +265,10 @@ def normal_path(path: Column) -> Column:
 
 
 def existing_paths(manifest: DataFrame) -> DataFrame:
-    """Files and all their directories, per submission."""
+    """Files and all their directories, per submission; directories repeat, which an anti-join does not mind."""
     parts = F.split("file_path", "/")
     prefixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
-    return manifest.select("submission_name", F.explode(prefixes).alias("target")).distinct()
+    return manifest.select("submission_name", F.explode(prefixes).alias("target"))
 
 
 def broken_references(files: DataFrame, manifest: DataFrame | None = None) -> DataFrame:

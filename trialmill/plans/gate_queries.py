@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trialmill.operators import certify, gates, pairwise, scorecard
+from trialmill.operators import certify, gates, harness, pairwise, scorecard
 from trialmill.plans import relations as rel
 from trialmill.plans.registry import Registry, rounded
+from trialmill.sinks import tables
 
 registry = Registry()
 ID = ["scorecard_id"]
@@ -468,3 +469,54 @@ def certification_policy_errors(spark, sf):
     return df.withColumn("invalid_ids", F.array_join("invalid_ids", ",")).withColumn(
         "threshold_out_of_range", F.coalesce("threshold_out_of_range", F.lit(False))
     )
+
+
+@registry.add(
+    "dimension_scores",
+    f"""WITH {REVIEWS} SELECT k AS scorecard_id, round(clarity, 6)::DOUBLE AS clarity, round(safety, 6)::DOUBLE AS safety FROM revs WHERE state = 'ok'""",
+)
+def dimension_scores(spark, sf):
+    docs = gates.parse_artifact(rel.review_documents(spark, sf), "artifact_text").where("artifact_state = 'ok'")
+    scores = docs.select("scorecard_id", gates.dimension_scores(F.col("doc")).alias("s"))
+    return rounded(scores.select("scorecard_id", F.col("s")["clarity"].alias("clarity"), F.col("s")["safety"].alias("safety")))
+
+
+@registry.add(
+    "scorecard_table",
+    f"""WITH {ITEMS}, {CARDS}, {GATES}, {JUDGED}, {FACTS}, {CHECKS},
+        top AS (SELECT k, max(CASE WHEN passed THEN lr ELSE -1 END) AS t FROM hier GROUP BY ALL),
+        n AS (SELECT c.scorecard_id, count(*) FILTER (WHERE passed) AS gates_passed, count(*) FILTER (WHERE NOT passed) AS gates_failed
+          FROM cards c LEFT JOIN judged j USING (scorecard_id) GROUP BY ALL)
+        SELECT scorecard_id, gates_passed, gates_failed,
+          CASE t WHEN 2 THEN 'certified' WHEN 1 THEN 'trusted' WHEN 0 THEN 'foundational' ELSE 'none' END AS highest_certification
+        FROM n JOIN top ON k = scorecard_id""",
+)
+def scorecard_table(spark, sf):
+    combined = scorecard.combine(judged_gates(spark, sf), ID, rel.scorecards(spark, sf))
+    rows = tables.scorecard_rows(combined, certified_runs(spark, sf), ID)
+    return rows.select("scorecard_id", "gates_passed", "gates_failed", "highest_certification")
+
+
+@registry.add(
+    "gate_ranks",
+    f"""WITH {GATES} SELECT gate_type, CASE gate_type WHEN 'engine' THEN 0 WHEN 'security' THEN 1 WHEN 'quality' THEN 2 ELSE 3 END AS gate_rank,
+        count(*) AS n FROM gates GROUP BY ALL""",
+)
+def gate_ranks(spark, sf):
+    ranked = rel.gate_rows(spark, sf).withColumn("gate_rank", scorecard.gate_rank(F.col("gate_type")))
+    return ranked.groupBy("gate_type", "gate_rank").agg(F.count(F.lit(1)).alias("n"))
+
+
+@registry.add(
+    "judge_summaries",
+    """SELECT o_orderkey AS scorecard_id, 'a=' || (o_orderkey % 101) || '%, b=' || format('{:.2f}', (o_orderkey % 40) / 10.0) AS summary FROM orders""",
+)
+def judge_summaries(spark, sf):
+    k = F.col("o_orderkey")
+    doc = F.concat(
+        F.lit('{"a":{"pass_rate":'), F.format_string("%.2f", (k % 101) / 100.0), F.lit('},"b":{"mean":'),
+        F.format_string("%.1f", (k % 40) / 10.0), F.lit('},"c":{"note":"x"}}'),
+    )
+    return rel.table(spark, sf, "orders").select(
+        k.alias("scorecard_id"), harness.judge_summary(F.parse_json(doc)).alias("summary")
+    )

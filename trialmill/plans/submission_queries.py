@@ -228,7 +228,7 @@ def main_skill_file(spark, sf):
     "review_input",
     """WITH f AS (SELECT 'sub-' || (doc_id // 20) AS submission_name, 'd' || doc_id || '.md' AS file_path, length(text) AS n FROM documents),
         s AS (SELECT *, sum(n) OVER (PARTITION BY submission_name ORDER BY file_path) AS upto FROM f)
-       SELECT submission_name, file_path, n AS n_chars, upto::BIGINT AS upto FROM s WHERE upto <= 40000""",
+       SELECT submission_name, file_path, n AS n_chars FROM s WHERE upto <= 40000""",
 )
 def review_input(spark, sf):
     files = rel.table(spark, sf, "documents").select(
@@ -470,3 +470,12 @@ def model_labels(spark, sf):
     return rel.table(spark, sf, "events").groupBy("user_id", facts.model_label(model).alias("label"), url.alias("url")).agg(
         F.count(F.lit(1)).alias("n")
     )
+
+
+@registry.add(
+    "artifact_prefixes",
+    "SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') || '_sub-' || user_id || '_r' || event_id AS prefix FROM events",
+)
+def artifact_prefixes(spark, sf):
+    name = reviews.artifact_prefix(F.col("ts"), F.concat(F.lit("sub-"), "user_id"), F.concat(F.lit("r"), "event_id"))
+    return rel.table(spark, sf, "events").select("event_id", name.alias("prefix"))

@@ -84,12 +84,12 @@ def scorecard_rows(combined: DataFrame, certified: DataFrame, key: list[str]) ->
 def new_rows(incoming: DataFrame, stored: DataFrame | None, key: list[str]) -> DataFrame:
     """Rows whose key is not stored yet; of several with one key inside the batch one is kept."""
     unique = incoming.dropDuplicates(key)
-    return unique if stored is None else unique.join(stored.select(*key).distinct(), key, "left_anti")
+    return unique if stored is None else unique.join(stored.select(*key), key, "left_anti")
 
 
 def children_of(rows: DataFrame, new_parents: DataFrame, key: list[str]) -> DataFrame:
     """Child rows of newly stored parents only, so that a run is stored with all its rows or not at all."""
-    return rows.join(new_parents.select(*key).distinct(), key, "left_semi")
+    return rows.join(new_parents.select(*key), key, "left_semi")
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
@@ -124,7 +124,7 @@ def store_scans(scans: DataFrame, folder: str) -> None:
     stored = read_table(scans.sparkSession, f"{folder}/security_scans")
     fresh = scans.dropDuplicates(["pipeline_run_id", "scanner"])
     if stored is not None:
-        fresh = fresh.join(stored.select("pipeline_run_id").distinct(), "pipeline_run_id", "left_anti")
+        fresh = fresh.join(stored.select("pipeline_run_id"), "pipeline_run_id", "left_anti")
     fresh.write.mode("append").parquet(f"{folder}/security_scans")
 
 
