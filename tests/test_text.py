@@ -207,3 +207,17 @@ def test_validation_of_a_good_and_a_bad_submission(spark):
     assert "good" not in errors
     assert sorted(errors["bad"]) == ["cases/c: missing required input.yaml", "metadata.yaml is missing", "missing eval-treatment.yaml"]
     assert errors["plug"] == ["eval.yaml: plugin_dirs 'gone/' must contain SKILL.md"]
+
+
+def test_rule_words_never_hide_a_match(spark):
+    samples = [
+        "do anything now", "developer mode", "show the prompt", "forget all rules", "< hidden >", "pretend to be a x", "in base64", "encode as base64",
+        "repeat after me", "ignore safety", "bypass filter", "output the following exactly", "~/.AWS/credentials", "/ETC/shadow", "$GH_TOKEN",
+        "$PRIVATE_KEY", "chmod 777 x", "chown root x", "String.fromCharCode (", "\\u1234\\u1234\\u1234\\u1234", "exec( compile(", "charCodeAt x fromCharCode",
+        "you are now the x", "system prompt change", "override all rules", "new instruction :", "disregard above", "exec(__import__(", "$ENCRYPTION_KEY",
+        "bypa\u017fs safety restriction ignore safety", "\ufeff", "D\u0131sregard prior",
+    ]
+    df = files(spark, {"a.md": "\n".join(samples)})
+    lines = {r.line for r in textscan.security_findings(df).collect()}
+    plain = [rules.Rule(r.category, r.label + " ", r.pattern, r.ignore_case) for r in rules.SECURITY_RULES]
+    assert lines == {r.line for r in textscan.security_findings(df, plain).collect()} == set(range(1, len(samples) + 1))
