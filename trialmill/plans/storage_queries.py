@@ -295,9 +295,19 @@ def enriched_reports(spark, sf):
     return tables.enrich_reports(reports, scans, edges, degraded, changes).drop("related_pr")
 
 
-@registry.add("certification_documents", None)
+@registry.add(
+    "certification_documents",
+    f"""WITH {gate_queries.GATES}, {gate_queries.FACTS}, {gate_queries.CHECKS},
+        h AS (SELECT k, max(CASE WHEN passed THEN lr ELSE -1 END) AS top, max(CASE WHEN lr = 1 THEN checks_passed END) AS trusted_passed FROM hier GROUP BY ALL)
+        SELECT k AS scorecard_id, CASE top WHEN 2 THEN 'certified' WHEN 1 THEN 'trusted' WHEN 0 THEN 'foundational' ELSE 'none' END AS highest_level,
+          trusted_passed FROM h""",
+)
 def certification_documents(spark, sf):
-    return tables.certification_documents(gate_queries.certified_runs(spark, sf), ["scorecard_id"])
+    docs = tables.certification_documents(gate_queries.certified_runs(spark, sf), ["scorecard_id"])
+    return docs.select(
+        "scorecard_id", F.get_json_object("document", "$.highest_level").alias("highest_level"),
+        F.get_json_object("document", "$.levels.trusted.checks_passed").cast("int").alias("trusted_passed"),
+    )
 
 
 @registry.add(

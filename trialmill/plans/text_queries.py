@@ -166,9 +166,16 @@ def thin_instructions(spark, sf):
     return textscan.file_completeness(files).select("submission_name", "severity")
 
 
+def severities(name: str) -> str:
+    return f"SELECT submission_name, severity FROM ({registry.sql[name]})"
+
+
+QUALITY = ("imprecise_instructions", "unfinished_content", "generic_advice", "description_quality", "broken_references")
+
+
 @registry.add(
     "quality_severity_counts",
-    None,
+    f"SELECT submission_name, severity, count(*) AS n FROM ({' UNION ALL '.join(map(severities, QUALITY))}) GROUP BY ALL",
 )
 def quality_severity_counts(spark, sf):
     return textscan.severity_counts(textscan.quality_findings(rel.skill_files(spark, sf)))
