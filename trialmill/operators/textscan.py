@@ -32,45 +32,65 @@ def regex(rule: R.Rule) -> str:
     return ("(?iU)" if rule.ignore_case else "(?U)") + rule.pattern
 
 
-def may_match(text: Column, rules: list[R.Rule]) -> Column:
-    """Whether a text can match any of the rules: by the rules' words, by pattern where a rule has none.
-
-    The folded text is made once per row; a plain column would be copied into every comparison.
-    """
+def words_in(text: Column, rules: list[R.Rule]) -> Column:
+    """Those of the rules' words that occur in a text; the folded text is made once per row."""
     words = sorted({h for r in rules for h in r.hints})
+    if not words:
+        return F.array().cast("array<string>")
+    listed = F.array(*[F.lit(w) for w in words])
+    none = F.array().cast("array<string>")
+
+    def found(v: Column) -> Column:
+        # most files have no word at all, which the first search settles
+        some = tx.contains_any(v["low"], words)
+        return F.when(some, F.filter(listed, lambda w: v["low"].contains(w))).otherwise(none)
 
-    def tests(v: Column) -> Column:
-        found = [tx.contains_any(v["low"], words)] if words else []
-        found += [v["text"].rlike(regex(r)) for r in rules if not r.hints]
-        return reduce(lambda a, b: a | b, found)
+    return let({"low": tx.folded(text)}, found)
 
-    return let({"text": text, "low": tx.folded(text)}, tests)
+
+def matches_without_words(text: Column, rules: list[R.Rule]) -> Column:
+    """Whether a rule that has no words matches."""
+    tests = [text.rlike(regex(r)) for r in rules if not r.hints]
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
 def file_lines(files: DataFrame, rules: list[R.Rule] | None = None) -> DataFrame:
     """Lines with number and fence state; fence lines themselves are left out.
 
-    With ``rules``, files and then lines that cannot match any of them are dropped.
+    With ``rules``, files and lines that cannot match any of them are dropped: the rules' words are looked
+    for in the whole file, and in its lines only the words that the file has. A file to drop is given no
+    pieces instead of being filtered, because a filter would repeat the search.
     """
     df = files
+    keep = F.lit(True)
     if rules is not None:
-        df = files.where(may_match(F.col("content"), rules))
+        df = files.select(
+            *FILE, "content",
+            words_in(F.col("content"), rules).alias("_words"),
+            matches_without_words(F.col("content"), rules).alias("_bare"),
+        )
+        keep = (F.size("_words") > 0) | F.col("_bare")
+    carried = [] if rules is None else ["_words", "_bare"]
     counts = F.transform("_pieces", lambda p: F.size(tx.lines(p)))
     offsets = F.aggregate(
         counts, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n + 1))
     )
-    df = df.withColumn("_pieces", tx.pieces(F.col("content")))
+    none = F.array().cast("array<string>")
+    df = df.withColumn("_pieces", F.when(keep, tx.pieces(F.col("content"))).otherwise(none))
     df = df.select(
-        *FILE, F.posexplode(F.arrays_zip(F.col("_pieces").alias("text"), offsets.alias("offset"))).alias("_piece", "_p")
+        *FILE, *carried,
+        F.posexplode(F.arrays_zip(F.col("_pieces").alias("text"), offsets.alias("offset"))).alias("_piece", "_p"),
     ).where(F.col("_p.text").isNotNull())
     df = df.select(
-        *FILE,
+        *FILE, *carried,
         (F.col("_piece") % 2 == 1).alias("in_fence"),
         F.col("_p.offset").alias("_offset"),
         F.posexplode(tx.lines(F.col("_p.text"))).alias("_n", "line"),
     )
-    lines = df.select(*FILE, (F.col("_offset") + F.col("_n") + 1).alias("line_no"), "in_fence", "line")
-    return lines if rules is None else lines.where(may_match(F.col("line"), rules))
+    if rules is not None:
+        has_word = let({"low": tx.folded(F.col("line"))}, lambda v: F.exists("_words", lambda w: v["low"].contains(w)))
+        df = df.where(has_word | (F.col("_bare") & matches_without_words(F.col("line"), rules)))
+    return df.select(*FILE, (F.col("_offset") + F.col("_n") + 1).alias("line_no"), "in_fence", "line")
 
 
 def _stripped_starts(prefix: str) -> Column:
