@@ -106,8 +106,7 @@ def store_runs(runs: DataFrame, trials: DataFrame, folder: str) -> DataFrame:
     """Append new runs and their trials; running it again adds nothing.
 
     Trials are written first and the run row last: a run whose write was interrupted has no run row, so
-    the next attempt repeats it, and its leftover trials are replaced because they are anti-joined by
-    their own key.
+    the next attempt repeats it. Trials that did get written are left out then by their own key.
     """
     spark = runs.sparkSession
     fresh = new_rows(runs, read_table(spark, f"{folder}/evaluation_runs"), ["pipeline_run_id"])
