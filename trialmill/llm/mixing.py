@@ -23,6 +23,8 @@ WEIGHTS = (3, 1, 2)
 #: Words of the mix per word of all sources, and how often a source may be used.
 SHARE, MOST_PASSES = 1.5, 2.0
 BUCKET_ROWS = 4096
+#: Shards whose permutations one task computes.
+SHARDS_PER_TASK = 16
 WORD = r"[^\\x20\\x09-\\x0D]+"
 
 
@@ -83,7 +85,7 @@ def draw(by_source: DataFrame) -> DataFrame:
     counts = single.groupBy("s", shard.alias("shard")).agg(F.count(F.lit(1)).alias("drawn"))
     before = Window.partitionBy("s").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("start", F.coalesce(F.sum("drawn").over(before), F.lit(0).cast("long")))
-    counts = counts.join(by_source.select("s", "blocks"), "s").repartition("s", "shard")
+    counts = counts.join(by_source.select("s", "blocks"), "s").repartition(1 + shards // SHARDS_PER_TASK, "s", "shard")
     ranks = counts.select("s", "shard", "blocks", F.explode(F.expr("sequence(start, start + drawn - 1)")).alias("rank"))
     ranks = ranks.withColumn("pass", F.expr("rank div blocks")).withColumn("index", F.col("rank") % F.col("blocks"))
     return ranks.select("s", "shard", "pass", permuted(F.col("index"), F.col("blocks"), F.col("s"), F.col("pass")).alias("block"))
