@@ -133,3 +133,12 @@ def test_single_variant_threshold(spark):
     assert got == {"a": "pass", "b": "fail"}
     got = {r.pipeline_run_id: r.recommendation for r in summary.analyse_single_runs(df, 0.25).collect()}
     assert got == {"a": "pass", "b": "pass"}
+
+
+def test_verdict_does_not_depend_on_row_order(spark):
+    from trialmill.operators.summary import analyse_ab_runs
+
+    rows = [("s", "r", "e", v, x) for v, xs in (("treatment", (0.3, 0.2, 0.1)), ("control", (0.1, 0.2, 0.3))) for x in xs]
+    df = spark.createDataFrame(rows, "submission_name string, pipeline_run_id string, eval_engine string, variant string, reward double")
+    for trials in (df.coalesce(1), df.orderBy("reward").coalesce(1), df.orderBy("variant", "reward").repartition(3)):
+        assert analyse_ab_runs(trials).first().recommendation == "pass"

@@ -104,7 +104,7 @@ def _gate(df: DataFrame, key: list[str], gate_type: str, gate_name: str, policy_
 def ab_gate(runs: DataFrame, key: list[str], order: int = 0) -> DataFrame:
     """Gap (uplift where there is no gap) against the policy threshold; score is the treatment mean."""
     threshold = F.coalesce("policy_threshold", F.lit(AB_THRESHOLD))
-    gap = F.coalesce("mean_reward_gap", "uplift", F.lit(0.0))
+    gap = F.round(F.coalesce("mean_reward_gap", "uplift", F.lit(0.0)), 12)
     score = clamp(F.coalesce("treatment_mean_reward", F.lit(0.0)))
     return _gate(runs, key, "engine", "evaluation", F.col("eval_engine"), order, gap >= threshold, score, threshold, None)
 
@@ -113,7 +113,7 @@ def single_gate(runs: DataFrame, key: list[str], order: int = 0) -> DataFrame:
     """Treatment mean against the threshold, 0.5 by default."""
     threshold = F.coalesce("policy_threshold", F.lit(SINGLE_THRESHOLD))
     mean = F.coalesce("treatment_mean_reward", F.lit(0.0))
-    return _gate(runs, key, "engine", "evaluation", F.col("eval_engine"), order, mean >= threshold, clamp(mean), threshold, None)
+    return _gate(runs, key, "engine", "evaluation", F.col("eval_engine"), order, F.round(mean, 12) >= threshold, clamp(mean), threshold, None)
 
 
 def task_run_gate(runs: DataFrame, key: list[str], order: int = 0) -> DataFrame:

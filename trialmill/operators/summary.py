@@ -91,7 +91,8 @@ def ab_verdict(paired: DataFrame, threshold: Column | float = 0.0) -> DataFrame:
                                               "mean_reward", "std_reward")}
     c = {k: F.col(f"control_{k}") for k in t}
     gap = t["mean_reward"] - c["mean_reward"]
-    primary = F.coalesce(F.col("mean_reward_gap"), F.col("uplift"))
+    # rewards are added in any order, so the last bits are cut before the threshold
+    primary = F.round(F.coalesce(F.col("mean_reward_gap"), F.col("uplift")), 12)
     empty_side = (t["n_trials"] == 0) | (c["n_trials"] == 0)
     nobody = (t["n_passed"] == 0) & (c["n_passed"] == 0)
     small = F.lit(False)
@@ -126,7 +127,7 @@ def analyse_single_runs(trials: DataFrame, threshold: float = 0.0, keys: list[st
     keys = keys or RUN_KEYS
     floor = threshold if threshold > 0 else SINGLE_VARIANT_THRESHOLD
     summary = variant_summary(trials.withColumn("variant", F.lit("treatment")), keys)
-    mean = F.coalesce(F.col("mean_reward"), F.lit(0.0))
+    mean = F.round(F.coalesce(F.col("mean_reward"), F.lit(0.0)), 12)
     ok = (F.col("n_trials") > 0) & (F.col("n_passed") > 0) & (mean >= floor)
     return (
         summary.withColumn("uplift", F.col("pass_rate"))

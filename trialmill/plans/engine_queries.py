@@ -47,7 +47,7 @@ JUDGED = """js AS (SELECT o_orderkey AS k, o_orderkey % 7 AS form, o_orderkey %
     "case_rewards",
     f"""WITH {JUDGED} SELECT k AS run_id, 'c1' AS case_id,
         CASE form WHEN 0 THEN NULL WHEN 1 THEN own WHEN 2 THEN grade WHEN 3 THEN share WHEN 4 THEN 1.0 WHEN 5 THEN 0.0
-          ELSE round((grade + share) / 2, 6) END::DOUBLE AS reward,
+          ELSE ((grade + share) / 2) END::DOUBLE AS reward,
         CASE form WHEN 2 THEN grade_ok WHEN 3 THEN share_ok WHEN 4 THEN true ELSE false END AS case_passed FROM js""",
 )
 def case_rewards(spark, sf):
@@ -192,7 +192,7 @@ def task_results(spark, sf):
           sum(nullif(duration, 0)) AS d FROM tasks GROUP BY ALL)
         SELECT parts.k AS run_id, 'sub-' || parts.k AS submission_name,
           CASE WHEN parts.k % 10 = 9 THEN 'none' WHEN parts.k % 2 = 0 THEN 'e' ELSE 'sub-' || parts.k || '-eval' END AS eval_name,
-          round(coalesce(p / n, 0.0), 6) AS overall_score, coalesce(p, 0) AS passed_tasks, coalesce(f, 0) AS failed_tasks,
+          (coalesce(p / n, 0.0)) AS overall_score, coalesce(p, 0) AS passed_tasks, coalesce(f, 0) AS failed_tasks,
           coalesce(e, 0) AS error_tasks, coalesce(s, 0) AS skipped_tasks, coalesce(n, 0) AS total_tasks,
           CASE WHEN parts.k % 10 = 9 THEN NULL WHEN parts.k % 2 = 1 THEN 77 ELSE d END::BIGINT AS total_duration_ms,
           CASE WHEN p / n >= 0.7 THEN 'pass' ELSE 'fail' END AS recommendation FROM parts LEFT JOIN t USING (k)""",
@@ -207,7 +207,7 @@ def task_run_totals(spark, sf):
     "task_run_gate",
     f"""WITH {TASKS}, t AS (SELECT k, count(*) FILTER (WHERE status = 'passed') / count(*) AS score,
           count(*) FILTER (WHERE status IN ('failed', 'error')) AS n FROM tasks GROUP BY ALL)
-        SELECT k AS run_id, score >= 0.7 AS passed, round(score, 6) AS score, n::INT AS findings_count FROM t""",
+        SELECT k AS run_id, score >= 0.7 AS passed, (score) AS score, n::INT AS findings_count FROM t""",
 )
 def task_run_gate(spark, sf):
     docs = task_documents(spark, sf)
@@ -334,7 +334,7 @@ def observability_rows(spark, sf):
           l_partkey % 50 = 7 AND l_linenumber = 7 AS corrupt FROM lineitem),
         a AS (SELECT s, c, sum(passed) AS p, sum(total) AS t, bool_or(corrupt) AS bad FROM g GROUP BY ALL)
         SELECT s AS submission, c AS case_id, coalesce(NOT bad AND t > 0 AND p / t >= 0.5, false) AS passed,
-          round(CASE WHEN bad OR t = 0 THEN 0.0 ELSE p / t END, 6) AS score FROM a""",
+          (CASE WHEN bad OR t = 0 THEN 0.0 ELSE p / t END) AS score FROM a""",
 )
 def edge_case_results(spark, sf):
     quantity = F.col("l_quantity").cast("int") % 5

@@ -85,7 +85,7 @@ def facts_to_push(spark, sf):
                string_agg(gate_name, ', ' ORDER BY gate_order) FILTER (WHERE mode = 'block') AS ab
         FROM cards c LEFT JOIN judged j USING (scorecard_id) GROUP BY ALL)
         SELECT scorecard_id, combination AS combination_mode, gates_passed, gates_failed, blocking_gates_passed,
-               blocking_gates_failed, round(w, 6) + 0.0 AS weighted_score,
+               blocking_gates_failed, (w) + 0.0 AS weighted_score,
                CASE WHEN n = 0 THEN 'fail'
                     WHEN combination = 'all_pass' THEN CASE WHEN fb IS NOT NULL THEN 'fail' WHEN fw IS NOT NULL THEN 'warn' ELSE 'pass' END
                     WHEN combination = 'any_pass' THEN CASE WHEN nb = 0 OR pb IS NOT NULL THEN 'pass' ELSE 'fail' END
@@ -141,8 +141,8 @@ FINDINGS = """raw AS (SELECT l_orderkey AS scorecard_id, l_linenumber AS ln, CAS
     f"""WITH {FINDINGS} SELECT scorecard_id, mode,
         CASE WHEN mode = 'disabled' THEN true WHEN state = 'absent' THEN mode <> 'block' WHEN state = 'corrupt' THEN false
              ELSE mode <> 'block' OR serious = 0 END AS passed,
-        round(CASE WHEN mode = 'disabled' THEN 1.0 WHEN state = 'absent' THEN CASE mode WHEN 'block' THEN 0.0 ELSE 1.0 END
-             WHEN state = 'corrupt' THEN 0.0 ELSE s END, 6)::DOUBLE AS score,
+        (CASE WHEN mode = 'disabled' THEN 1.0 WHEN state = 'absent' THEN CASE mode WHEN 'block' THEN 0.0 ELSE 1.0 END
+             WHEN state = 'corrupt' THEN 0.0 ELSE s END)::DOUBLE AS score,
         CASE WHEN mode <> 'disabled' AND state = 'ok' THEN n ELSE 0 END AS findings_count FROM arts""",
 )
 def scan_gate(spark, sf):
@@ -182,8 +182,8 @@ REVIEWS = """revs AS (SELECT o_orderkey AS k, CASE o_orderstatus WHEN 'F' THEN '
     f"""WITH {REVIEWS} SELECT k AS scorecard_id, mode,
         CASE WHEN mode = 'disabled' THEN true WHEN state = 'absent' THEN mode <> 'block' WHEN state = 'corrupt' THEN false
              WHEN mode = 'block' THEN (clarity + safety) / 2 >= t ELSE rec <> 'fail' END AS passed,
-        round(CASE WHEN mode = 'disabled' THEN 1.0 WHEN state = 'absent' THEN CASE mode WHEN 'block' THEN 0.0 ELSE 1.0 END
-             WHEN state = 'corrupt' THEN 0.0 ELSE (clarity + safety) / 2 END, 6)::DOUBLE AS score,
+        (CASE WHEN mode = 'disabled' THEN 1.0 WHEN state = 'absent' THEN CASE mode WHEN 'block' THEN 0.0 ELSE 1.0 END
+             WHEN state = 'corrupt' THEN 0.0 ELSE (clarity + safety) / 2 END)::DOUBLE AS score,
         CASE WHEN mode <> 'disabled' AND state = 'ok' THEN t END::DOUBLE AS threshold,
         CASE WHEN mode <> 'disabled' AND state = 'ok' THEN (clarity < 0.6)::INT + (safety < 0.6 AND k % 5 <> 0)::INT ELSE 0 END
         AS findings_count FROM revs""",
@@ -199,7 +199,7 @@ def review_gate(spark, sf):
     "review_dimensions",
     f"""WITH {REVIEWS}, d AS (SELECT k, 'clarity' AS dimension, clarity AS score FROM revs WHERE state = 'ok'
         UNION ALL SELECT k, 'safety', safety FROM revs WHERE state = 'ok')
-        SELECT k AS scorecard_id, dimension, round(score, 6)::DOUBLE AS score, CASE WHEN score < 0.4 THEN 'high'
+        SELECT k AS scorecard_id, dimension, (score)::DOUBLE AS score, CASE WHEN score < 0.4 THEN 'high'
           WHEN score < 0.6 THEN 'medium' WHEN score < 0.8 THEN 'low' ELSE 'info' END AS severity FROM d""",
 )
 def review_dimensions(spark, sf):
@@ -215,8 +215,8 @@ def review_dimensions(spark, sf):
           len(list_filter(range(1, o_orderkey % 5 + 1), lambda i: (o_orderkey + i) % 3 <> 0)) AS good FROM orders)
         SELECT k AS scorecard_id, CASE WHEN mode = 'disabled' THEN true WHEN state = 'absent' THEN mode <> 'block'
             WHEN state = 'corrupt' THEN false WHEN total = 0 THEN true ELSE mode = 'warn' OR good / total >= t END AS passed,
-          round(CASE WHEN mode = 'disabled' THEN 1.0 WHEN state = 'absent' THEN CASE mode WHEN 'block' THEN 0.0 ELSE 1.0 END
-            WHEN state = 'corrupt' THEN 0.0 WHEN total = 0 THEN 1.0 ELSE good / total END, 6)::DOUBLE AS score,
+          (CASE WHEN mode = 'disabled' THEN 1.0 WHEN state = 'absent' THEN CASE mode WHEN 'block' THEN 0.0 ELSE 1.0 END
+            WHEN state = 'corrupt' THEN 0.0 WHEN total = 0 THEN 1.0 ELSE good / total END)::DOUBLE AS score,
           CASE WHEN mode <> 'disabled' AND state = 'ok' AND total > 0 THEN total END::INT AS edge_total,
           CASE WHEN mode <> 'disabled' AND state = 'ok' AND total > 0 THEN good END::INT AS edge_passed FROM e""",
 )
@@ -234,7 +234,7 @@ def edge_case_gate(spark, sf):
           CASE WHEN o_orderkey % 3 <> 0 THEN CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE 0.55 END END AS t FROM orders)
         SELECT k AS scorecard_id, CASE s WHEN 0 THEN 'harbor' ELSE 'a2a' END AS policy_key,
           CASE s WHEN 0 THEN coalesce(gap, uplift) >= coalesce(t, 0.0) ELSE coalesce(mean, 0) >= coalesce(t, 0.5) END AS passed,
-          round(greatest(0, least(1, coalesce(mean, 0))), 6) + 0.0 AS score,
+          (greatest(0, least(1, coalesce(mean, 0)))) + 0.0 AS score,
           coalesce(t, CASE s WHEN 0 THEN 0.0 ELSE 0.5 END)::DOUBLE AS threshold FROM r""",
 )
 def engine_gates(spark, sf):
@@ -275,7 +275,7 @@ def pairwise_cases(spark, sf):
 
 @registry.add(
     "pairwise_outcome",
-    f"""WITH {CASES} SELECT submission_name, wins_a, wins_b, ties, errors, total, round(wins_a / total, 6) AS win_rate,
+    f"""WITH {CASES} SELECT submission_name, wins_a, wins_b, ties, errors, total, (wins_a / total) AS win_rate,
         (wins_a + wins_b = 0 AND ties > 0 AND errors = 0) OR wins_a / total >= 0.5 AS passed FROM o""",
 )
 def pairwise_outcome(spark, sf):
@@ -290,9 +290,9 @@ def pairwise_outcome(spark, sf):
           CASE WHEN c_custkey % 3 <> 0 THEN 0.25 END AS cm FROM customer)
         SELECT submission_name, tn AS treatment_n_trials, wins_a AS treatment_n_passed, greatest(tn - wins_a, 0) AS treatment_n_failed,
           coalesce(cn, 0) AS control_n_trials, wins_b AS control_n_passed, greatest(coalesce(cn, 0) - wins_b, 0) AS control_n_failed,
-          round(wins_a / total, 6) AS treatment_pass_rate, round(wins_b / total, 6) AS control_pass_rate,
-          round(wins_a / total - wins_b / total, 6) + 0.0 AS uplift, tm::DOUBLE AS treatment_mean_reward, cm::DOUBLE AS control_mean_reward,
-          round(tm - coalesce(cm, 0.0), 6)::DOUBLE AS mean_reward_gap,
+          (wins_a / total) AS treatment_pass_rate, (wins_b / total) AS control_pass_rate,
+          (wins_a / total - wins_b / total) + 0.0 AS uplift, tm::DOUBLE AS treatment_mean_reward, cm::DOUBLE AS control_mean_reward,
+          (tm - coalesce(cm, 0.0))::DOUBLE AS mean_reward_gap,
           CASE WHEN (wins_a + wins_b = 0 AND ties > 0 AND errors = 0) OR wins_a / total >= 0.5 THEN 'pass' ELSE 'fail' END AS recommendation
         FROM o JOIN p USING (submission_name)""",
 )
@@ -350,7 +350,7 @@ def certification_facts(spark, sf):
 @registry.add(
     "behavior_sub_checks",
     f"""WITH {GATES}, {FACTS} SELECT k AS scorecard_id, sub_check, has_data,
-        CASE WHEN has_data THEN ok ELSE true END AS passed, round(CASE WHEN has_data THEN s ELSE 1.0 END, 6) + 0.0 AS score FROM sub""",
+        CASE WHEN has_data THEN ok ELSE true END AS passed, (CASE WHEN has_data THEN s ELSE 1.0 END) + 0.0 AS score FROM sub""",
 )
 def behavior_sub_checks(spark, sf):
     return rounded(certify.sub_check_rows(certification_facts(spark, sf), ID))
@@ -359,7 +359,7 @@ def behavior_sub_checks(spark, sf):
 @registry.add(
     "behavior_composite",
     f"""WITH {GATES}, {FACTS} SELECT k AS scorecard_id, count(*) FILTER (WHERE has_data)::INT AS behavior_active,
-        round(coalesce(sum(s * w) FILTER (WHERE has_data) / sum(w) FILTER (WHERE has_data), 0.0), 6) + 0.0 AS behavior_score,
+        (coalesce(sum(s * w) FILTER (WHERE has_data) / sum(w) FILTER (WHERE has_data), 0.0)) + 0.0 AS behavior_score,
         count(*) FILTER (WHERE has_data) >= 2 AND count(*) FILTER (WHERE has_data AND NOT ok) = 0 AS behavior_passed
         FROM sub GROUP BY ALL""",
 )
@@ -428,7 +428,7 @@ def certified_runs(spark, sf):
 @registry.add(
     "certification_levels",
     f"""WITH {GATES}, {FACTS}, {CHECKS} SELECT k AS scorecard_id, level, passed, checks_total, checks_passed,
-        checks_total - checks_passed AS checks_failed, round(overall_score, 6) + 0.0 AS overall_score, failed AS failed_checks FROM hier""",
+        checks_total - checks_passed AS checks_failed, (overall_score) + 0.0 AS overall_score, failed AS failed_checks FROM hier""",
 )
 def certification_levels(spark, sf):
     df = certify.certification_rows(certified_runs(spark, sf), ID)
@@ -439,7 +439,7 @@ def certification_levels(spark, sf):
 
 @registry.add(
     "certification_checks",
-    f"""WITH {GATES}, {FACTS}, {CHECKS} SELECT k AS scorecard_id, check_id, ok AS passed, round(s, 6) + 0.0 AS score FROM checks""",
+    f"""WITH {GATES}, {FACTS}, {CHECKS} SELECT k AS scorecard_id, check_id, ok AS passed, (s) + 0.0 AS score FROM checks""",
 )
 def certification_checks(spark, sf):
     return rounded(certify.check_rows(certified_runs(spark, sf), ID).drop("source_gate"))
@@ -473,7 +473,7 @@ def certification_policy_errors(spark, sf):
 
 @registry.add(
     "dimension_scores",
-    f"""WITH {REVIEWS} SELECT k AS scorecard_id, round(clarity, 6)::DOUBLE AS clarity, round(safety, 6)::DOUBLE AS safety FROM revs WHERE state = 'ok'""",
+    f"""WITH {REVIEWS} SELECT k AS scorecard_id, (clarity)::DOUBLE AS clarity, (safety)::DOUBLE AS safety FROM revs WHERE state = 'ok'""",
 )
 def dimension_scores(spark, sf):
     docs = gates.parse_artifact(rel.review_documents(spark, sf), "artifact_text").where("artifact_state = 'ok'")

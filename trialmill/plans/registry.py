@@ -25,10 +25,10 @@ class Registry:
         return keep
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles rounded for comparison with another engine; adding 0.0 turns -0.0 into 0.0."""
-    columns: list[Column] = [
-        (F.round(F.col(name), digits) + 0.0).alias(name) if kind == "double" else F.col(name)
-        for name, kind in df.dtypes
-    ]
+def rounded(df: DataFrame) -> DataFrame:
+    """Doubles as they are, for comparison with another engine; adding 0.0 turns -0.0 into 0.0.
+
+    Cutting digits would turn a last-bit difference at a tie into one of a whole digit.
+    """
+    columns: list[Column] = [(F.col(name) + 0.0).alias(name) if kind == "double" else F.col(name) for name, kind in df.dtypes]
     return df.select(*columns)

@@ -54,7 +54,7 @@ VERDICT = """verdicts AS (
          treatment_mean_reward - control_mean_reward AS mean_reward_gap,
          CASE WHEN treatment_n_trials = 0 OR control_n_trials = 0 THEN 'fail'
               WHEN treatment_n_passed = 0 AND control_n_passed = 0 THEN 'fail'
-              WHEN coalesce(treatment_mean_reward - control_mean_reward, treatment_pass_rate - control_pass_rate) >= 0
+              WHEN round(coalesce(treatment_mean_reward - control_mean_reward, treatment_pass_rate - control_pass_rate), 12) >= 0
               THEN 'pass' ELSE 'fail' END AS recommendation,
          (treatment_n_trials BETWEEN 1 AND 14) OR (control_n_trials BETWEEN 1 AND 14) AS small_sample
   FROM paired)"""
@@ -64,7 +64,7 @@ runs AS (SELECT v.*, t.created_at FROM verdicts v JOIN times t USING (pipeline_r
 
 
 def r6(names: str) -> str:
-    return ", ".join(f"round({n}, 6) + 0.0 AS {n}" for n in names.split())
+    return ", ".join(f"({n}) + 0.0 AS {n}" for n in names.split())
 
 
 COUNTS = "n_trials n_passed n_failed n_errors"
@@ -73,7 +73,7 @@ PAIRED_COUNTS = ", ".join(f"{v}_{c}" for v in ("treatment", "control") for c in
 PAIRED_RATES = " ".join(f"{v}_{c}" for v in ("treatment", "control") for c in RATES.split())
 
 
-@registry.add("trial_rewards", f"WITH {TRIALS} SELECT pipeline_run_id, variant, trial_name, round(reward, 6) AS reward, "
+@registry.add("trial_rewards", f"WITH {TRIALS} SELECT pipeline_run_id, variant, trial_name, (reward) AS reward, "
               "coalesce(reward > 0, false) AS passed FROM trials")
 def trial_rewards(spark, sf):
     df = rel.trials(spark, sf)
@@ -108,7 +108,7 @@ def ab_analysis(spark, sf):
     f"""WITH {TRIALS}, s AS (SELECT submission_name, pipeline_run_id, eval_engine,
         {variant_sql('trials', '', 'true')} FROM trials GROUP BY ALL)
         SELECT submission_name, pipeline_run_id, eval_engine, 'treatment' AS variant, {COUNTS.replace(' ', ', ')},
-               {r6(RATES)}, round(pass_rate, 6) AS uplift, round(mean_reward, 6) AS mean_reward_gap,
+               {r6(RATES)}, (pass_rate) AS uplift, (mean_reward) AS mean_reward_gap,
                n_trials BETWEEN 1 AND 14 AS small_sample,
                CASE WHEN n_passed > 0 AND mean_reward >= 0.5 THEN 'pass' ELSE 'fail' END AS recommendation
         FROM s""",
@@ -119,9 +119,9 @@ def single_variant_verdict(spark, sf):
 
 @registry.add(
     "quick_mean_reward",
-    """SELECT 'sub-' || user_id AS submission_name, round(avg(coalesce(
+    """SELECT 'sub-' || user_id AS submission_name, (avg(coalesce(
            nullif(CASE WHEN event_type = 'view' THEN 0.0 ELSE value / 100.0 END, 0.0),
-           CASE WHEN event_id % 3 = 0 THEN NULL ELSE 0.25 END, 0.0)), 6) + 0.0 AS mean_reward
+           CASE WHEN event_id % 3 = 0 THEN NULL ELSE 0.25 END, 0.0))) + 0.0 AS mean_reward
        FROM events GROUP BY ALL""",
 )
 def quick_mean_reward(spark, sf):
@@ -148,7 +148,7 @@ def quick_mean_reward(spark, sf):
                  sum((CASE WHEN i IN (0, 400) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * cos(h * i) ^ (df - 1)) AS s
               FROM g GROUP BY ALL)
         SELECT m.pipeline_run_id, CASE WHEN n1 < 2 OR n2 < 2 THEN NULL WHEN v1 + v2 > 0 THEN
-                 round(greatest(0.0, 1 - 2 * exp(lgamma((a.df + 1) / 2) - lgamma(a.df / 2)) / sqrt(pi()) * a.s * a.h / 3), 6) + 0.0
+                 (greatest(0.0, 1 - 2 * exp(lgamma((a.df + 1) / 2) - lgamma(a.df / 2)) / sqrt(pi()) * a.s * a.h / 3)) + 0.0
                WHEN m1 <> m2 THEN 0.0 END AS ttest_p_value
         FROM m LEFT JOIN a USING (pipeline_run_id)""",
 )
@@ -167,7 +167,7 @@ def welch_ttest(spark, sf):
                  -(lgamma(a + 1) + lgamma(b + 1) + lgamma(c + 1) + lgamma(d + 1)) AS lo FROM x),
         s AS (SELECT pipeline_run_id, sum(exp(lw - lo)) FILTER (WHERE lw <= lo + 1e-7) / sum(exp(lw - lo)) AS p
               FROM p GROUP BY ALL)
-        SELECT pipeline_run_id, round(p, 6) AS fisher_p_value,
+        SELECT pipeline_run_id, (p) AS fisher_p_value,
                CASE WHEN p < 0.001 THEN ' ***' WHEN p < 0.01 THEN ' **' WHEN p < 0.05 THEN ' *' ELSE '' END AS marker
         FROM t LEFT JOIN s USING (pipeline_run_id)""",
 )
@@ -296,8 +296,8 @@ def degradation_of_new_score(spark, sf):
     "score_variance",
     f"""WITH {RUNS}, last AS (SELECT * FROM runs QUALIFY row_number() OVER
           (PARTITION BY submission_name ORDER BY created_at DESC, pipeline_run_id DESC) <= 5)
-        SELECT submission_name, round(coalesce(var_samp(treatment_pass_rate), 0.0), 6) + 0.0 AS score_variance,
-               count(treatment_pass_rate) AS run_count, round(avg(treatment_pass_rate), 6) + 0.0 AS mean_score
+        SELECT submission_name, (coalesce(var_samp(treatment_pass_rate), 0.0)) + 0.0 AS score_variance,
+               count(treatment_pass_rate) AS run_count, (avg(treatment_pass_rate)) + 0.0 AS mean_score
         FROM last GROUP BY ALL""",
 )
 def score_variance(spark, sf):

@@ -94,7 +94,7 @@ def part_sources(spark, sf):
           p_partkey % 2 <> 0 OR p_partkey % 5 = 0 OR p_partkey % 7 = 0 AS undeclared FROM part),
         i AS (SELECT k, CASE WHEN enabled THEN c::INT + mem::INT + t::INT + CASE k % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END ELSE 0 END AS h,
           CASE WHEN enabled THEN undeclared::INT + CASE WHEN k % 6 = 0 THEN 2 ELSE 0 END ELSE 0 END AS l FROM m)
-       SELECT 'sub-' || k AS submission_name, h = 0 AS passed, round(greatest(0.0, 1.0 - (0.35 * h + 0.15 * l)), 6)::DOUBLE AS score,
+       SELECT 'sub-' || k AS submission_name, h = 0 AS passed, (greatest(0.0, 1.0 - (0.35 * h + 0.15 * l)))::DOUBLE AS score,
          h::BIGINT AS high_issues, l::BIGINT AS low_issues FROM i""",
 )
 def operational_policy(spark, sf):
@@ -303,7 +303,7 @@ def combined_reviewers(spark, sf):
     "normalized_reviews",
     """WITH r AS (SELECT o_orderkey AS k, (o_orderkey % 100) / 100.0 AS a, (o_orderkey * 7 % 100) / 100.0 AS b FROM orders),
         s AS (SELECT k, CASE WHEN k % 2 = 0 THEN a ELSE (a + b) / 2 END AS score FROM r)
-       SELECT k AS run_id, round(score, 6)::DOUBLE AS overall_score, CASE WHEN k % 3 = 0 THEN 'fail' WHEN score >= 0.6 THEN 'pass' WHEN score >= 0.4 THEN 'warn' ELSE 'fail' END AS recommendation,
+       SELECT k AS run_id, (score)::DOUBLE AS overall_score, CASE WHEN k % 3 = 0 THEN 'fail' WHEN score >= 0.6 THEN 'pass' WHEN score >= 0.4 THEN 'warn' ELSE 'fail' END AS recommendation,
          k % 5 = 0 OR NOT (k % 3 = 0 OR score < 0.4) AS passed FROM s""",
 )
 def normalized_reviews(spark, sf):
