@@ -47,6 +47,34 @@ def test_edge_cases_without_gradings_appear(spark, tmp_path):
     assert got == {"one": (True, 0.5), "two": (False, 0.0), "three": (False, 0.0)}
 
 
+def test_unreadable_gradings_are_error_trials_and_iterations_stand_below_the_run(spark):
+    rows = [
+        ("r/iteration-1/e/with_skill/grading.json", '{"summary":{"pass_rate":0.5}}'), ("r/iteration-2/e/with_skill/grading.json", "{"),
+        ("r/iteration-1/e/without_skill/grading.json", '{"summary":{}}'), ("r/x/iteration-1/e/with_skill/grading.json", '{"summary":{"pass_rate":1.0}}'),
+        ("r/iteration-3/e/with_skill/grading.json", '{"summary":{"pass_rate":1.0}}'),
+    ]
+    got = {r.trial_name: r.reward for r in files.grading_rows(spark.createDataFrame(rows, "path string, content string"), 2).collect()}
+    assert got == {"iteration-1-treatment": 0.5, "iteration-2-treatment": None, "iteration-1-control": 0.0}
+
+
+def test_thresholds_of_metadata_are_bounded_by_indentation(spark):
+    texts = {
+        "own": "name: x\ngate_policy:\n  evaluation:\n    mode: warn\n    threshold: 0.4\n", "short": "gate_policy:\n  evaluation:\n    threshold: .9",
+        "exponent": "gate_policy:\r\n\r\n  evaluation:  # why\r\n\r\n    threshold: 1e-1 # low\r\n", "quoted": "gate_policy:\n evaluation:\n  threshold: '0.25'\n",
+        "after": "gate_policy:\n  security:\n    threshold: 0.3\n    rules:\n      - a\n  evaluation:\n    limits:\n      threshold: 0.1\n    threshold: 0.6\n",
+        "other": "gate_policy:\n  evaluation:\n    mode: warn\n  cisco2:\n    threshold: 0.3\n", "nested": "gate_policy:\n  evaluation:\n    limits:\n      threshold: 0.1\n",
+        "none": "name: x\n", "elsewhere": "gates:\n  evaluation:\n    threshold: 0.3\n", "flow": "gate_policy: {evaluation: {threshold: 0.75}}\n",
+        "inner flow": "gate_policy:\n  evaluation: {threshold: 0.75}\n", "word": "gate_policy:\n  evaluation:\n    threshold: high\n", "null": None,
+    }
+    rows = [(k, "metadata.yaml", v) for k, v in texts.items()]
+    df = files.metadata_thresholds(spark.createDataFrame(rows, "submission_name string, file_path string, content string"), 0.5)
+    got = {r.submission_name: (r.threshold, r.threshold_state) for r in df.collect()}
+    own = {"own": 0.4, "short": 0.9, "exponent": 0.1, "quoted": 0.25, "after": 0.6}
+    default = dict.fromkeys(("other", "nested", "none", "elsewhere", "null"), (0.5, "default"))
+    odd = dict.fromkeys(("flow", "inner flow", "word"), (None, "not understood"))
+    assert got == {k: (v, "own") for k, v in own.items()} | default | odd
+
+
 def report(name, rewards, **extra):
     trials = [{"trial_name": f"t{i}", "reward": x, "passed": True} for i, x in enumerate(rewards)]
     return json.dumps({"submission_name": name, "provenance": {"eval_engine": "harbor"},
@@ -184,3 +212,19 @@ def test_reviewer_answers(spark, answer, passed, issues):
 def test_quick_mean_lets_zero_fall_through(spark):
     df = spark.createDataFrame([("r", 0.0, 0.4), ("r", 0.8, None), ("r", None, None)], "run string, nested_reward double, flat_reward double")
     assert summary.quick_mean(df, ["run"]).first().mean_reward == pytest.approx(0.4)
+
+
+def test_limits_are_unset_by_default(spark):
+    found = spark.createDataFrame([("s", i, "low", "r", "m" * 80) for i in range(30)], "scan string, finding_no int, severity string, rule_id string, message string")
+    every, some = reviews.shown_findings(found, ["scan"]).collect(), reviews.shown_findings(found, ["scan"], 20, 60).collect()
+    assert (len(every), every[0].more, len(every[0].message)) == (30, 0, 80) and (len(some), some[0].more, len(some[0].message)) == (20, 10, 60)
+    cases = spark.createDataFrame([("s", f"c{i}") for i in range(5)], "sub string, case_id string")
+    assert reviews.first_cases(cases, ["sub"]).count() == 5 and reviews.first_cases(cases, ["sub"], 3).count() == 3
+    texts = spark.createDataFrame([("s", "a.md", "x" * 6), ("s", "b.md", "x" * 6), ("s", "c.md", "x")], "submission_name string, file_path string, content string")
+    assert [r.chars_upto for r in reviews.review_input(texts).orderBy("file_path").collect()] == [6, 12, 13]
+    assert reviews.review_input(texts, 10).count() == 1
+    long = spark.createDataFrame([("y" * 5000,)], "t string")
+    sizes = long.select(F.length(reviews.quality_criteria(F.col("t"))).alias("a"), F.length(reviews.quality_criteria(F.col("t"), 3000)).alias("b")).first()
+    assert (sizes.a, sizes.b) == (5000, 3000)
+    outcomes = spark.createDataFrame([(f"p{i:03}", "error") for i in range(80)], "path string, outcome string")
+    assert tables.last_errors(outcomes).count() == 80 and tables.last_errors(outcomes, 50).count() == 50

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trialmill.functions.stats import fisher_p, log_gamma, significance_marker, student_two_sided, welch_p
 from trialmill.operators import summary
-from trialmill.operators.hot import hot_groups, spread_median
+from trialmill.operators.hot import spread_median
 
 SCHEMA = "submission_name string, pipeline_run_id string, eval_engine string, variant string, reward double"
 MAIN = {"treatment": [1.0, 0.8, 0.6, 0.0, 1.0], "control": [0.5, 0.0, 0.3, 0.0, 0.0]}
@@ -49,21 +49,37 @@ def test_threshold_uses_gap_then_uplift(spark):
     assert got == {"a": "fail", "b": "pass"}
 
 
-def test_hot_runs_give_the_same_rows_as_ordinary_ones(spark):
+def test_summaries_against_plain_python(spark):
     rng = random.Random(3)
-    runs = {}
+    runs = {None: {"treatment": [0.25, None, 0.75, 0.5], "control": [None]}}
     for i in range(12):
         sides = {v: [rng.choice([None, 0.0, rng.random(), 7.5, -2.0]) for _ in range(rng.randrange(0, 40))] for v in MAIN}
         runs[f"r{i}"] = {v: xs for v, xs in sides.items() if xs}
     df = trials(spark, runs).cache()
 
-    def plain(frame):
-        return sorted(
-            tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in frame.collect()
-        )
+    def expected(xs):
+        known = [x for x in xs if x is not None]
+        return (
+            len(xs), sum(x > 0 for x in known), sum(x <= 0 for x in known), len(xs) - len(known),
+            statistics.mean(known) if known else None, statistics.median(known) if known else None,
+            statistics.stdev(known) if len(known) > 1 else None,
+        )
 
-    assert plain(summary.paired_summary(df)) == plain(summary.paired_summary(df, hot_rows=5))
-    assert plain(summary.variant_summary(df)) == plain(summary.variant_summary(df, hot_rows=5))
+    names = "n_trials n_passed n_failed n_errors mean_reward median_reward std_reward".split()
+
+    def same(row, head, xs):
+        for name, want in zip(names, expected(xs), strict=True):
+            assert row[head + name] == (pytest.approx(want, abs=1e-12) if isinstance(want, float) else want)
+
+    singles = summary.variant_summary(df).collect()
+    assert len(singles) == sum(len(sides) for sides in runs.values())
+    for row in singles:
+        same(row, "", runs[row.pipeline_run_id][row.variant])
+    pairs = summary.paired_summary(df).collect()
+    assert len(pairs) == sum(bool(sides) for sides in runs.values())
+    for row in pairs:
+        for v in MAIN:
+            same(row, f"{v}_", runs[row.pipeline_run_id].get(v, []))
 
 
 def test_spread_median_equals_statistics_median(spark):
@@ -74,10 +90,12 @@ def test_spread_median_equals_statistics_median(spark):
     assert got == pytest.approx({g: statistics.median(xs) for g, xs in data.items()})
 
 
-def test_hot_groups_are_bounded(spark):
-    df = spark.range(10_000).withColumn("k", F.when(F.col("id") < 4000, 0).otherwise(F.col("id")))
-    assert [r.k for r in hot_groups(df, ["k"], rows=100).collect()] == [0]
-    assert hot_groups(df, ["k"], rows=0, most=3).count() <= 3
+def test_spread_median_of_infinite_values_and_nan(spark):
+    inf = math.inf
+    data = {0: [-inf, 1.0, inf], 1: [inf, inf, 1.0], 2: [-inf, -inf, 5.0], 3: [1e300, 2e300, inf], 4: [1.0, 2.0, math.nan]}
+    rows = [(g, x) for g, xs in data.items() for x in xs]
+    got = {r.g: r.m for r in spread_median(spark.createDataFrame(rows, "g int, x double"), ["g"], "x", "m").collect()}
+    assert got == {0: 1.0, 1: inf, 2: -inf, 3: 2e300, 4: 2.0}
 
 
 def exact_fisher(a, b, c, d):
@@ -105,6 +123,31 @@ def test_fisher_empty_row_and_very_large_tables(spark):
     assert got[1] == pytest.approx(0.0843, abs=5e-4)
 
 
+def log_space_fisher(a, b, c, d):
+    """The whole support, whatever its size, from logarithms of factorials kept as a table of exact-rounded sums."""
+    r1, r2, c1 = a + b, c + d, a + c
+    low, high = max(0, c1 - r2), min(r1, c1)
+    logs = {a: 0.0}
+    for x in range(a, high):
+        logs[x + 1] = logs[x] + math.log((r1 - x) * (c1 - x) / ((x + 1) * (r2 - c1 + x + 1)))
+    for x in range(a, low, -1):
+        logs[x - 1] = logs[x] - math.log((r1 - x + 1) * (c1 - x + 1) / (x * (r2 - c1 + x)))
+    top = max(logs.values())
+    whole = math.fsum(math.exp(v - top) for v in logs.values())
+    tail = math.fsum(math.exp(v) for v in logs.values() if v <= 1e-7)
+    return math.exp(-top - math.log(whole)) * tail
+
+
+def test_fisher_has_one_rule_around_twenty_thousand_terms_and_far_beyond(spark):
+    tables = [
+        (10_100, 9_899, 9_900, 10_099), (10_100, 9_900, 9_900, 10_100), (10_100, 9_901, 9_900, 10_101),
+        (250_600, 249_400, 249_400, 250_600), (12_000, 8_001, 8_000, 12_001), (3, 29_997, 40, 29_960),
+    ]
+    df = spark.createDataFrame(tables, "a long, b long, c long, d long")
+    for r in df.select("*", fisher_p(*[F.col(x) for x in "abcd"]).alias("p")).collect():
+        assert r.p == pytest.approx(log_space_fisher(r.a, r.b, r.c, r.d), rel=1e-7) and r.p > 0.0
+
+
 def test_student_tail_against_known_values(spark):
     cases = [(1.0, 1.0, 0.5), (2.0, 2.0, 1 - 2 / math.sqrt(6)), (1.96, 1e9, 0.04999579), (0.0, 5.0, 1.0), (60.0, 1e6, 0.0)]
     df = spark.createDataFrame(cases, "t double, df double, p double")

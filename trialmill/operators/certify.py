@@ -202,13 +202,17 @@ def gate_checks() -> dict[str, tuple[str, Column, Column]]:
 def merge_gate_checks(gates: DataFrame, key: list[str]) -> DataFrame:
     """One row per run; per check the first failing gate result, else the first passing one.
 
-    Rank and result are packed into numbers so that the aggregation hashes on primitive buffers.
+    Rank and result are packed into numbers so that the aggregation hashes on primitive buffers. A
+    ``gate_order`` that would not fit beside the result raises.
     """
+    order = F.when(F.col("gate_order").between(0, _PASS_BIT - 1), F.col("gate_order")).when(
+        F.col("gate_order").isNotNull(), F.raise_error(F.lit("gate_order out of range")).cast("bigint")
+    )
     aggregates = []
     for check, (kind, ok, score) in gate_checks().items():
         rank = F.when(
             F.col("gate_type") == kind,
-            F.when(ok, F.lit(_PASS_BIT)).otherwise(F.lit(0).cast("bigint")) + F.col("gate_order"),
+            F.when(ok, F.lit(_PASS_BIT)).otherwise(F.lit(0).cast("bigint")) + order,
         )
         aggregates += [F.min(rank).alias(f"_rank_{check}"), F.min_by(score, rank).alias(f"_score_{check}")]
     return gates.groupBy(*key).agg(*aggregates)

@@ -1,43 +1,39 @@
-"""Hot groups: finding them with a proven bound, and an exact median that spreads one group."""
+"""An exact median that spreads every group, whatever its size, over many tasks."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-HOT_ROWS = 1_000_000
-MAX_HOT_GROUPS = 100_000
 BUCKETS = 1024
 
 
-def hot_groups(df: DataFrame, keys: list[str], rows: int = HOT_ROWS, most: int = MAX_HOT_GROUPS) -> DataFrame:
-    """Keys of groups with more than ``rows`` rows *and* more than total/``most`` rows.
-
-    The second condition proves that at most ``most`` keys come back, so they may be broadcast.
-    Counting combines on the map side: a hot key sends one row per task.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows"))
-    return counts.where((F.col("_rows") > rows) & (F.col("_rows") * most > total.scalar())).select(*keys)
-
-
-def split_hot(df: DataFrame, keys: list[str], rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary groups, rows of hot groups); together exactly ``df``."""
-    hot = F.broadcast(hot_groups(df, keys, rows))
-    return df.join(hot, keys, "left_anti"), df.join(hot, keys, "left_semi")
+def value_bucket(value: Column) -> Column:
+    """Monotone map of any double onto at most 2052 buckets; NaN is the largest value."""
+    return (
+        F.when(F.isnan(value), BUCKETS + 2)
+        .when(value == float("inf"), BUCKETS + 1)
+        .when(value == float("-inf"), -BUCKETS - 1)
+        .otherwise(F.floor(value / (1.0 + F.abs(value)) * BUCKETS).cast("int"))
+    )
 
 
-def value_bucket(value: Column) -> Column:
-    """Monotone map of any double onto at most 2049 buckets."""
-    return F.floor(value / (1.0 + F.abs(value)) * BUCKETS).cast("int")
+def left_join_nullsafe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on keys that may be null; the keys of ``left`` stay."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys])
+    return left.join(renamed, same, "left").drop(*[f"_r_{k}" for k in keys])
 
 
 def spread_median(df: DataFrame, keys: list[str], value: str, alias: str) -> DataFrame:
     """Exact median per group without ever holding one group in one task.
 
-    Equal values are combined first; a histogram of at most 2049 rows per group then tells which one
-    or two buckets hold the middle ranks, and only rows of those buckets are ordered.
+    Equal values are combined first; a histogram of at most 2052 rows per group then tells which one
+    or two buckets hold the middle ranks, and only rows of those buckets are ordered. Null values are
+    left out: a group of nothing else gives no row.
     """
     counted = (
         df.where(F.col(value).isNotNull())
@@ -62,7 +58,8 @@ def spread_median(df: DataFrame, keys: list[str], value: str, alias: str) -> Dat
     )
     inside = W.partitionBy(*keys, "_bucket").orderBy(value)
     ranked = (
-        counted.join(middle, [*keys, "_bucket"])
+        left_join_nullsafe(counted, middle, [*keys, "_bucket"])
+        .where(F.col("_before").isNotNull())
         .withColumn("_end", F.col("_before") + F.sum("_n").over(inside))
         .withColumn("_begin", F.col("_end") - F.col("_n"))
     )

@@ -12,7 +12,6 @@ from trialmill.operators.textscan import scanned_files
 
 # Fixed values
 FAIL_WORDS = ("fail", "not ready", "problematic", "reject")
-PASS_WORDS = ("pass", "ready for evaluation", "looks good", "approved")
 EDGE_CASE_ASSERTIONS = (
     "The response handles the edge case appropriately without crashing or producing nonsensical output",
     "The response acknowledges limitations or uncertainty when the input is unusual",
@@ -25,11 +24,6 @@ CRITERIA_HEADINGS = (
     "Critical: Human-in-the-Loop",
     "Security Considerations",
 )
-CRITERIA_FALLBACK_CHARS = 3000
-REVIEW_CHARS = 40_000
-FINDINGS_SHOWN = 20
-MESSAGE_CHARS = 60
-CASES_SHOWN = 3
 NULL_LIKE = ("null", "none", "n/a", "")
 SUB = "submission_name"
 
@@ -121,8 +115,8 @@ def edge_case_prompts(files: DataFrame) -> DataFrame:
     )
 
 
-def quality_criteria(content: Column) -> Column:
-    """The five headings of interest with their text, else the first 3000 characters."""
+def quality_criteria(content: Column, fallback_chars: int | None = None) -> Column:
+    """The five headings of interest with their text, else the whole body (or its first ``fallback_chars``)."""
     body = F.regexp_replace(content, r"\A---\n(?s:.*?)\n---\n", "")
     parts = []
     for heading in CRITERIA_HEADINGS:
@@ -130,7 +124,8 @@ def quality_criteria(content: Column) -> Column:
         head, text = F.regexp_extract(body, pattern, 1), F.regexp_extract(body, pattern, 2)
         parts.append(F.when(head != "", F.concat(strip(head), F.lit("\n"), strip(text))))
     found = F.array_compact(F.array(*parts))
-    return F.when(F.size(found) > 0, F.array_join(found, "\n\n")).otherwise(F.substring(body, 1, CRITERIA_FALLBACK_CHARS))
+    rest = body if fallback_chars is None else F.substring(body, 1, fallback_chars)
+    return F.when(F.size(found) > 0, F.array_join(found, "\n\n")).otherwise(rest)
 
 
 def scenario_gaps(briefs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -197,36 +192,38 @@ def main_skill_file(files: DataFrame) -> DataFrame:
     )
 
 
-def shown_findings(findings: DataFrame, key: list[str], limit: int = FINDINGS_SHOWN) -> DataFrame:
-    """First ``limit`` findings per scan with shortened messages, and how many more there are.
+def shown_findings(
+    findings: DataFrame, key: list[str], limit: int | None = None, message_chars: int | None = None
+) -> DataFrame:
+    """Findings per scan with their position; with ``limit`` the first ones, and how many more there are.
 
     The rank filter is applied before the shuffle too, and the totals combine on the map side.
     """
-    order = W.partitionBy(*key).orderBy("finding_no")
-    first = findings.withColumn("shown_no", F.row_number().over(order)).where(F.col("shown_no") <= limit)
+    shown_no = F.row_number().over(W.partitionBy(*key).orderBy("finding_no"))
+    message = F.col("message") if message_chars is None else F.substring("message", 1, message_chars)
+    ranked = findings.withColumn("shown_no", shown_no)
+    if limit is None:
+        return ranked.select(*key, "shown_no", "severity", "rule_id", message.alias("message"), F.lit(0).cast("bigint").alias("more"))
     totals = findings.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-    return first.join(totals, key).select(
-        *key, "shown_no", "severity", "rule_id", F.substring("message", 1, MESSAGE_CHARS).alias("message"),
+    return ranked.where(F.col("shown_no") <= limit).join(totals, key).select(
+        *key, "shown_no", "severity", "rule_id", message.alias("message"),
         F.greatest(F.col("_n") - limit, F.lit(0)).alias("more"),
     )
 
 
-def first_cases(cases: DataFrame, key: list[str], limit: int = CASES_SHOWN) -> DataFrame:
-    """First cases of a submission by name."""
+def first_cases(cases: DataFrame, key: list[str], limit: int | None = None) -> DataFrame:
+    """Cases of a submission by name with their position; with ``limit`` the first ones."""
     order = W.partitionBy(*key).orderBy("case_id")
-    return cases.withColumn("case_no", F.row_number().over(order)).where(F.col("case_no") <= limit)
+    ranked = cases.withColumn("case_no", F.row_number().over(order))
+    return ranked if limit is None else ranked.where(F.col("case_no") <= limit)
 
 
-def review_input(files: DataFrame, limit: int = REVIEW_CHARS) -> DataFrame:
-    """Files in name order up to, not including, the first one that would exceed the character limit.
+def review_input(files: DataFrame, limit: int | None = None) -> DataFrame:
+    """Files in name order with their characters so far; with ``limit`` up to, not including, the first that exceeds it.
 
-    Only names and lengths are shuffled. Of the files with any text at most ``limit`` can fit, so the rank
-    filter, which also works before the shuffle, bounds what one submission sends to the running sum; the
-    sum only tells where to stop, and every file before that name is kept.
+    Only names and lengths are shuffled, and the running sum spills.
     """
-    order = W.partitionBy(SUB).orderBy("file_path")
-    sizes = scanned_files(files).select(SUB, "file_path", F.length("content").alias("n_chars"))
-    first = sizes.where("n_chars > 0").withColumn("_nth", F.row_number().over(order)).where(F.col("_nth") <= limit + 1)
-    over = first.withColumn("_upto", F.sum("n_chars").over(order)).where(F.col("_upto") > limit)
-    stop = over.groupBy(SUB).agg(F.min("file_path").alias("_stop"))
-    return sizes.join(stop, SUB, "left").where(F.col("_stop").isNull() | (F.col("file_path") < F.col("_stop"))).drop("_stop")
+    order = W.partitionBy(SUB).orderBy("file_path").rowsBetween(W.unboundedPreceding, W.currentRow)
+    sizes = scanned_files(files).select(SUB, "file_path", F.length("content").cast("bigint").alias("n_chars"))
+    summed = sizes.withColumn("chars_upto", F.sum("n_chars").over(order))
+    return summed if limit is None else summed.where(F.col("chars_upto") <= limit)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialmill.functions.stats import fisher_p, ratio, welch_p
-from trialmill.operators.hot import HOT_ROWS, split_hot, spread_median
+from trialmill.operators.hot import left_join_nullsafe, spread_median
 
 # Fixed values
 VARIANTS = ("treatment", "control")
@@ -35,13 +35,6 @@ def _counts(variant: str | None) -> list[Column]:
     ]
 
 
-def _median(variant: str | None) -> Column:
-    if variant is None:
-        return F.percentile("reward", F.lit(0.5)).alias("median_reward")
-    value = F.when(F.col("variant") == variant, F.col("reward"))
-    return F.percentile(value, F.lit(0.5)).alias(f"{variant}_median_reward")
-
-
 def _derived(head: str) -> dict[str, Column]:
     n, ok, bad = (F.col(f"{head}{c}") for c in ("n_trials", "n_passed", "n_errors"))
     return {
@@ -55,30 +48,28 @@ def _summary_columns(head: str) -> list[str]:
     return [head + name for name in names.split()]
 
 
-def variant_summary(trials: DataFrame, keys: list[str] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Counts, pass rate over all trials, and mean, median and deviation over rewarded trials, per variant."""
+def variant_summary(trials: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Counts, pass rate over all trials, and mean, median and deviation over rewarded trials, per variant.
+
+    One path for runs of any size: the aggregates have buffers of fixed size, and the median spreads each run.
+    """
     keys = [*(keys or RUN_KEYS), "variant"]
-    ordinary, hot = split_hot(trials.select(*keys, "reward"), keys, hot_rows)
-    cold_part = ordinary.groupBy(*keys).agg(*_counts(None), _median(None))
-    hot_part = (
-        hot.groupBy(*keys)
-        .agg(*_counts(None))
-        .join(spread_median(hot, keys, "reward", "median_reward"), keys, "left")
-    )
-    return cold_part.unionByName(hot_part).withColumns(_derived("")).select(*keys, *_summary_columns(""))
+    rows = trials.select(*keys, "reward")
+    counts = rows.groupBy(*keys).agg(*_counts(None))
+    both = left_join_nullsafe(counts, spread_median(rows, keys, "reward", "median_reward"), keys)
+    return both.withColumns(_derived("")).select(*keys, *_summary_columns(""))
 
 
-def paired_summary(trials: DataFrame, keys: list[str] | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def paired_summary(trials: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """One row per run with both variants side by side; a variant without trials has zero counts."""
     keys = keys or RUN_KEYS
-    ordinary, hot = split_hot(trials.select(*keys, "variant", "reward"), keys, hot_rows)
-    counts = [c for v in VARIANTS for c in _counts(v)]
-    cold_part = ordinary.groupBy(*keys).agg(*counts, *[_median(v) for v in VARIANTS])
-    hot_part = hot.groupBy(*keys).agg(*counts)
-    for v in VARIANTS:
-        side = hot.where(F.col("variant") == v)
-        hot_part = hot_part.join(spread_median(side, keys, "reward", f"{v}_median_reward"), keys, "left")
-    both = cold_part.unionByName(hot_part)
+    rows = trials.select(*keys, "variant", "reward")
+    counts = rows.groupBy(*keys).agg(*[c for v in VARIANTS for c in _counts(v)])
+    medians = spread_median(rows.where(F.col("variant").isin(*VARIANTS)), [*keys, "variant"], "reward", "_median")
+    sides = medians.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("variant") == v, F.col("_median"))).alias(f"{v}_median_reward") for v in VARIANTS]
+    )
+    both = left_join_nullsafe(counts, sides, keys)
     for v in VARIANTS:
         both = both.withColumns(_derived(f"{v}_"))
     return both.select(*keys, *[c for v in VARIANTS for c in _summary_columns(f"{v}_")])

@@ -247,7 +247,7 @@ def backfill(spark, sf):
 
 @registry.add(
     "backfill_errors",
-    """SELECT 'reports/r' || lpad(o_orderkey::VARCHAR, 12, '0') || '/scorecard.json' AS path FROM orders WHERE o_orderkey % 50 = 0 ORDER BY path DESC LIMIT 50""",
+    """SELECT 'reports/r' || lpad(o_orderkey::VARCHAR, 12, '0') || '/scorecard.json' AS path FROM orders WHERE o_orderkey % 50 = 0""",
 )
 def backfill_errors(spark, sf):
     return tables.last_errors(backfill(spark, sf))

@@ -211,12 +211,12 @@ def harness_detection(spark, sf):
 @registry.add(
     "main_skill_file",
     """WITH f AS (SELECT doc_id, 'sub-' || (doc_id // 5) AS s, CASE WHEN doc_id % 3 = 0 THEN 'skills/SKILL.md'
-          WHEN doc_id % 3 = 1 THEN 'skills/n' || doc_id || '/SKILL.md' ELSE 'a' || doc_id || '/SKILL.md' END AS p, doc_id % 3 AS r FROM documents WHERE doc_id % 7 <> 3)
+          WHEN doc_id % 3 = 1 THEN 'skills/n' || doc_id || '/SKILL.md' ELSE 'a' || doc_id || '/SKILL.md' END AS p, doc_id % 3 AS r FROM documents)
        SELECT s AS submission_name, p AS file_path FROM f QUALIFY row_number() OVER (PARTITION BY s ORDER BY r, p) = 1""",
 )
 def main_skill_file(spark, sf):
     k = F.col("doc_id")
-    files = rel.table(spark, sf, "documents").where(k % 7 != 3).select(
+    files = rel.table(spark, sf, "documents").select(
         F.concat(F.lit("sub-"), F.floor(k / 5)).alias(SUB),
         F.when(k % 3 == 0, "skills/SKILL.md").when(k % 3 == 1, F.concat(F.lit("skills/n"), k, F.lit("/SKILL.md")))
         .otherwise(F.concat(F.lit("a"), k, F.lit("/SKILL.md"))).alias("file_path"),
@@ -228,34 +228,35 @@ def main_skill_file(spark, sf):
     "review_input",
     """WITH f AS (SELECT 'sub-' || (doc_id // 20) AS submission_name, 'd' || doc_id || '.md' AS file_path, length(text) AS n FROM documents),
         s AS (SELECT *, sum(n) OVER (PARTITION BY submission_name ORDER BY file_path) AS upto FROM f)
-       SELECT submission_name, file_path, n AS n_chars FROM s WHERE upto <= 40000""",
+       SELECT submission_name, file_path, n AS n_chars, upto::BIGINT AS chars_upto FROM s""",
 )
 def review_input(spark, sf):
     files = rel.table(spark, sf, "documents").select(
         F.concat(F.lit("sub-"), F.floor(F.col("doc_id") / 20)).alias(SUB),
         F.concat(F.lit("d"), "doc_id", F.lit(".md")).alias("file_path"), F.col("text").alias("content"),
     )
-    return reviews.review_input(files).withColumn("n_chars", F.col("n_chars").cast("bigint"))
+    return reviews.review_input(files)
 
 
 @registry.add(
     "shown_findings",
-    """WITH f AS (SELECT l_suppkey AS scan_id, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice) AS rn,
-          count(*) OVER (PARTITION BY l_suppkey) AS n, l_orderkey * 10 + l_linenumber AS r FROM lineitem)
-       SELECT scan_id, rn::INT AS shown_no, greatest(n - 20, 0) AS more FROM f WHERE rn <= 20""",
+    """SELECT l_suppkey AS scan_id, (row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice))::INT AS shown_no,
+         CASE WHEN l_returnflag = 'R' THEN 'high' ELSE 'low' END AS severity, 'rule-' || l_linenumber AS rule_id,
+         'part ' || l_partkey || ' of order ' || l_orderkey AS message, 0::BIGINT AS more FROM lineitem""",
 )
 def shown_findings(spark, sf):
     rows = rel.table(spark, sf, "lineitem").select(
-        F.col("l_suppkey").alias("scan_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("finding_no"),
-        F.lit("low").alias("severity"), F.lit("r").alias("rule_id"), F.repeat(F.lit("m"), F.lit(80)).alias("message"),
+        F.col("l_suppkey").alias("scan_id"), F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice").alias("finding_no"),
+        F.when(F.col("l_returnflag") == "R", "high").otherwise("low").alias("severity"),
+        F.concat(F.lit("rule-"), "l_linenumber").alias("rule_id"), F.concat(F.lit("part "), "l_partkey", F.lit(" of order "), "l_orderkey").alias("message"),
     )
-    return reviews.shown_findings(rows, ["scan_id"]).select("scan_id", "shown_no", "more")
+    return reviews.shown_findings(rows, ["scan_id"])
 
 
 @registry.add(
     "first_cases",
     """WITH c AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey::VARCHAR) AS n FROM orders)
-       SELECT o_custkey AS submission, o_orderkey::VARCHAR AS case_id, n::INT AS case_no FROM c WHERE n <= 3""",
+       SELECT o_custkey AS submission, o_orderkey::VARCHAR AS case_id, n::INT AS case_no FROM c""",
 )
 def first_cases(spark, sf):
     cases = rel.table(spark, sf, "orders").select(
@@ -380,7 +381,7 @@ def edge_case_prompts(spark, sf):
     "quality_criteria",
     # a heading's pattern may start at an earlier heading, so the first section repeats what stands before it
     """SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN length('## Common Issues.none.## Else.skip.## My Workflow.steps') + 2
-         + length('## Common Issues.none') ELSE least(3000, length(text)) END::BIGINT AS n FROM documents""",
+         + length('## Common Issues.none') ELSE length(text) END::BIGINT AS n FROM documents""",
 )
 def quality_criteria(spark, sf):
     body = F.when(

@@ -25,6 +25,7 @@ def build_session(cpus: int | str = "*", app_name: str = "trialmill") -> SparkSe
         .config("spark.driver.memory", os.environ.get("TRIALMILL_DRIVER_MEMORY", "8g"))
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -32,12 +33,14 @@ def build_session(cpus: int | str = "*", app_name: str = "trialmill") -> SparkSe
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Cut lineage through the cluster's shared checkpoint folder, so lost executors can be replaced.
 
-    The folder named in ``spark.checkpoint.dir`` is used. Only where it is unset (local tests) a
-    temporary one is made.
+    The folder named in ``spark.checkpoint.dir`` is used. Only where it is unset in a local session (tests)
+    a temporary one is made; on a cluster its executors could not read that, so this raises there.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get(CHECKPOINT_CONF, None) or context.getConf().get(CHECKPOINT_CONF)
+        if not folder and context.master != "local" and not context.master.startswith("local["):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="trialmill-checkpoint-"))
     return df.checkpoint(eager=True)

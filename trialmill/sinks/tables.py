@@ -15,7 +15,6 @@ from trialmill.operators.gates import count_severity, findings_of
 
 # Fixed values
 STATS = ("n_trials", "n_passed", "n_failed", "n_errors", "pass_rate", "mean_reward", "median_reward", "std_reward")
-ERRORS_KEPT = 50
 
 
 def row_id(*natural_key: str) -> Column:
@@ -157,8 +156,10 @@ def backfill_counts(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
-def last_errors(outcomes: DataFrame, most: int = ERRORS_KEPT) -> DataFrame:
-    return outcomes.where("outcome = 'error'").orderBy(F.col("path").desc()).limit(most).select("path")
+def last_errors(outcomes: DataFrame, most: int | None = None) -> DataFrame:
+    """Paths of all errors, or of the last ``most`` by name."""
+    errors = outcomes.where("outcome = 'error'").select("path")
+    return errors if most is None else errors.orderBy(F.col("path").desc()).limit(most)
 
 
 def enrich_reports(

@@ -82,9 +82,12 @@ def trial_rows(files: DataFrame, run: Column | None = None) -> DataFrame:
 
 
 def grading_rows(files: DataFrame, iterations: int) -> DataFrame:
-    """Gradings of iterations 1 to ``iterations``; the path tells the variant; a missing rate is 0.0."""
+    """Gradings of iterations 1 to ``iterations``, directly below the run; the path tells the variant.
+
+    A missing rate is 0.0. An unreadable document is an error trial: its reward is null.
+    """
     parts = _split(F.col("path"))
-    number = F.regexp_extract("path", r"(?:\A|/)iteration-(\d+)/", 1)
+    number = F.regexp_extract("path", r"\A[^/]+/iteration-(\d+)/", 1)
     variant = F.when(F.array_contains(parts, TREATMENT_PART), "treatment").when(
         F.array_contains(parts, CONTROL_PART), "control"
     )
@@ -98,7 +101,7 @@ def grading_rows(files: DataFrame, iterations: int) -> DataFrame:
             F.element_at(parts, 1).alias("pipeline_run_id"),
             "variant",
             F.concat(F.lit("iteration-"), "iteration", F.lit("-"), "variant").alias("trial_name"),
-            F.coalesce(F.try_variant_get(doc, "$.summary.pass_rate", "double"), F.lit(0.0)).alias("reward"),
+            F.when(doc.isNotNull(), F.coalesce(F.try_variant_get(doc, "$.summary.pass_rate", "double"), F.lit(0.0))).alias("reward"),
         )
     )
 
@@ -182,7 +185,7 @@ def newest_job(manifest: DataFrame, by_name: bool = False) -> DataFrame:
     parts = _split(F.col("path"))
     keys = [F.element_at(parts, 1).alias("submission_name"), F.element_at(parts, 2).alias("variant")]
     jobs = manifest.where(F.size(parts) > 3).select(*keys, F.element_at(parts, 3).alias("job"), "modified")
-    newest = F.max("job") if by_name else F.max_by("job", "modified")
+    newest = F.max("job") if by_name else F.max_by("job", F.struct("modified", "job"))
     return jobs.groupBy("submission_name", "variant").agg(newest.alias("job"))
 
 
@@ -246,13 +249,34 @@ def submission_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+# Block style only: a key's direct children share the indentation of its first one (groups 1 and 2).
+_BLANK = r"[ \t]*(?:#.*)?\n"
+_EVALUATION = (
+    rf"(?m)^gate_policy:{_BLANK}(?:{_BLANK})*([ \t]+)"
+    rf"(?:(?!evaluation:)[^\s#].*\n(?:{_BLANK}|\1[ \t]+.*\n)*\1(?=\S))*evaluation:"
+)
+_THRESHOLD = rf"{_BLANK}(?:{_BLANK})*(\1[ \t]+)(?:(?!threshold:)[^\s#].*\n(?:{_BLANK}|\2[ \t]+.*\n)*\2(?=\S))*threshold:[ \t]*([^\s#]*)"
+_NUMBER = r"\A['\"]?([-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?)['\"]?\z"
+
+
 def metadata_thresholds(files: DataFrame, default: float) -> DataFrame:
-    """Evaluation threshold of every submission's metadata, ``default`` where it has none."""
-    gate = r"(?m)^gate_policy:[ \t]*\n(?:[ \t]+.*\n)*?[ \t]+evaluation:[ \t]*\n(?:[ \t]+(?!security:|quality:|behavioral:).*\n)*?[ \t]+threshold:[ \t]*([-0-9.]+)"
-    own = F.try_to_number(F.nullif(F.regexp_extract("content", gate, 1), F.lit("")), F.lit("S9999.999999"))
+    """Evaluation threshold of every submission's metadata, ``default`` where it has none.
+
+    ``threshold_state``: own, default, or "not understood" where a policy is written in flow style or the value
+    is no number; the threshold is null then.
+    """
+    text = F.concat(F.regexp_replace("content", r"\r\n?", "\n"), F.lit("\n"))
+    written = F.regexp_extract(text, _EVALUATION + _THRESHOLD, 3)
+    number = F.nullif(F.regexp_extract(written, _NUMBER, 1), F.lit("")).try_cast("double")
+    flow = text.rlike(r"(?m)^gate_policy:[ \t]*[^\s#]") | text.rlike(_EVALUATION + r"[ \t]*[^\s#]")
+    has_line = text.rlike(_EVALUATION + _THRESHOLD)
+    state = (
+        F.when(flow | (has_line & number.isNull()), "not understood").when(number.isNotNull(), "own").otherwise("default")
+    )
     return files.where(F.col("file_path") == "metadata.yaml").select(
         "submission_name",
         yaml_scalar(F.col("content"), "name").alias("name"),
         yaml_scalar(F.col("content"), "eval_engine").alias("eval_engine"),
-        F.coalesce(own.cast("double"), F.lit(default)).alias("threshold"),
+        F.when(state == "own", number).when(state == "default", F.lit(default)).alias("threshold"),
+        state.alias("threshold_state"),
     )
