@@ -178,18 +178,23 @@ def _map(position: int, make):
     return run
 
 
+def _schema(plain: DataFrame, added: list[str]) -> str:
+    return ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields] + [f"{n} double" for n in added])
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = LABELLED_ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """Features and quality of at most ``most`` labelled documents outside the held-out fifth."""
+    """Features and quality of at most ``most`` labelled documents outside the held-out fifth; repeated rows of an id count once."""
     chosen = (
         labels.where("doc_id is not null and quality is not null").where(~held_out())
         .groupBy("doc_id").agg(F.min("quality").alias("quality"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     )
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
     names = [f"f{i}" for i in range(len(FEATURES))]
-    make = _map(1, lambda x: {n: pa.array(x[:, i]) for i, n in enumerate(names)})
-    found = rows.mapInArrow(make, f"quality {labels.schema['quality'].dataType.simpleString()}, " + ", ".join(f"{n} double" for n in names))
-    found = found.toPandas().sort_values(["quality", *names])
+    make = _map(2, lambda x: {n: pa.array(x[:, i]) for i, n in enumerate(names)})
+    found = rows.mapInArrow(make, _schema(rows.drop("text"), names))
+    found = found.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min(F.struct(*names)).alias("f"))
+    found = found.select("quality", "f.*").toPandas().sort_values(["quality", *names])
     return found[names].to_numpy(float), found["quality"].to_numpy(float)
 
 
@@ -205,7 +210,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     counts. Repeated rows are scored each; an empty table gives no rows; other columns are left out.
     """
     model = fit(*training_rows(docs, labels))
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double"
+    schema = _schema(docs.select("doc_id"), ["score"])
     scored = docs.select("doc_id", "text").mapInArrow(_map(1, lambda x: {"score": pa.array(model.score(x))}), schema)
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
@@ -215,6 +220,5 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(*training_rows(docs, labels))
     names = docs.columns
     plain = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)), F.col("text").alias("whole text"))
-    schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields)) + ", score double"
-    judged = plain.mapInArrow(_map(len(names), lambda x: {"score": pa.array(model.score(x))}), schema)
+    judged = plain.mapInArrow(_map(len(names), lambda x: {"score": pa.array(model.score(x))}), _schema(plain.drop("whole text"), ["score"]))
     return judged.where(F.col("score") >= THRESHOLD).select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(names)))
