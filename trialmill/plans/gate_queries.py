@@ -126,7 +126,7 @@ def enabled_gates(spark, sf):
 
 
 FINDINGS = """raw AS (SELECT l_orderkey AS scorecard_id, l_linenumber AS ln, CASE l_linenumber % 6 WHEN 0 THEN 'critical' WHEN 1 THEN 'high'
-    WHEN 2 THEN 'medium' WHEN 3 THEN 'low' ELSE 'info' END AS severity FROM lineitem WHERE l_quantity > 30),
+    WHEN 2 THEN 'medium' WHEN 3 THEN 'low' ELSE 'info' END AS severity FROM lineitem),
   sums AS (SELECT scorecard_id, count(*) AS n, count(*) FILTER (WHERE severity IN ('critical', 'high')) AS serious,
     avg(CASE severity WHEN 'critical' THEN 0.0 WHEN 'high' THEN 0.25 WHEN 'medium' THEN 0.5 WHEN 'low' THEN 0.75 ELSE 0.9 END) AS s
     FROM raw GROUP BY ALL),
@@ -379,7 +379,7 @@ def required_sql(level):
 
 CHECKS = f"""own AS (SELECT DISTINCT c_custkey AS c, CASE WHEN c_custkey % 20 = 0 THEN ['basic_security_validation', 'data_privacy_pii_handling']
        ELSE ['basic_security_validation'] END AS f, CASE WHEN c_custkey % 30 = 0 THEN []::VARCHAR[] END AS z,
-       CASE WHEN c_custkey % 20 = 0 THEN 0.9 ELSE 0.2 END AS ti, 0.4 AS ta FROM customer WHERE c_custkey % 10 = 0),
+       CASE WHEN c_custkey % 20 = 0 THEN 0.9 ELSE 0.2 END AS ti, 0.4 AS ta FROM customer WHERE c_mktsegment = 'BUILDING'),
   pol AS (SELECT facts.*, coalesce(ti, 0.7) AS t_instr, coalesce(ta, 0.8) AS t_agent,
     CASE WHEN own.c IS NOT NULL THEN f ELSE {required_sql('foundational')} END AS rf,
     CASE WHEN own.c IS NOT NULL THEN {sql_list(certify.TRUSTED_CHECKS)} ELSE {required_sql('trusted')} END AS rt,
@@ -420,7 +420,7 @@ CHECKS = f"""own AS (SELECT DISTINCT c_custkey AS c, CASE WHEN c_custkey % 20 =
 
 def certified_runs(spark, sf):
     runs = certify.resolve_policy(
-        certification_facts(spark, sf), rel.certification_policies(spark, sf), F.col("profile")
+        certification_facts(spark, sf), rel.certification_policies(spark, sf, "BUILDING"), F.col("profile")
     )
     return certify.certify(runs, rel.gate_rows(spark, sf), ID)
 
@@ -458,7 +458,7 @@ def highest_certification(spark, sf):
 @registry.add(
     "certification_policy_errors",
     """SELECT 'sub-' || c_custkey AS submission_name, 'no_such_check' AS invalid_ids, c_custkey % 20 = 0 AS threshold_out_of_range
-       FROM customer WHERE c_custkey % 10 = 0""",
+       FROM customer""",
 )
 def certification_policy_errors(spark, sf):
     own = rel.certification_policies(spark, sf)

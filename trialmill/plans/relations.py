@@ -117,7 +117,7 @@ def scan_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(line % 3 == 0, F.lit('"message":"m"')).otherwise(F.lit('"description":"d"')),
         F.when(line % 2 == 0, F.lit(',"file_path":"a.md"}')).otherwise(F.lit(',"location":{"file":"b.md"}}')),
     )
-    bodies = table(spark, sf_dir, "lineitem").where("l_quantity > 30").groupBy("l_orderkey").agg(
+    bodies = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.concat(F.lit('{"findings":['), F.array_join(F.collect_list(finding), ","), F.lit("]}")).alias("_body")
     )
     orders = table(spark, sf_dir, "orders")
@@ -196,12 +196,15 @@ def certification_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def certification_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Own policies of a tenth of the customers' submissions."""
+def certification_policies(spark: SparkSession, sf_dir: str, segment: str | None = None) -> DataFrame:
+    """An own policy of each customer's submission, or of those of one market segment."""
     number = F.col("c_custkey")
     none = F.lit(None).cast("array<string>")
     nothing = F.lit(None).cast("map<string,double>")
-    return table(spark, sf_dir, "customer").where(number % 10 == 0).select(
+    customers = table(spark, sf_dir, "customer")
+    if segment is not None:
+        customers = customers.where(F.col("c_mktsegment") == segment)
+    return customers.select(
         F.concat(F.lit("sub-"), number).alias("submission_name"),
         F.when(number % 20 == 0, F.array(F.lit("basic_security_validation"), F.lit("data_privacy_pii_handling")))
         .otherwise(F.array(F.lit("basic_security_validation"))).alias("foundational_checks"),

@@ -280,19 +280,19 @@ def summary_rows(spark, sf):
 @registry.add(
     "enriched_reports",
     """WITH s AS (SELECT l_orderkey AS k, sum(l_linenumber)::BIGINT AS f, bool_and(l_returnflag <> 'R') AS ok FROM lineitem GROUP BY ALL),
-        e AS (SELECT l_orderkey AS k, count(*) AS t, count(*) FILTER (WHERE l_tax > 0.03) AS p FROM lineitem WHERE l_quantity > 25 GROUP BY ALL)
+        e AS (SELECT l_orderkey AS k, count(*) AS t, count(*) FILTER (WHERE l_tax > 0.03) AS p FROM lineitem GROUP BY ALL)
        SELECT o_orderkey AS pipeline_run_id, f AS scan_findings, ok AS scans_passed, t AS edge_total, p AS edge_passed,
-         CASE WHEN o_orderstatus = 'F' THEN true END AS degraded FROM orders LEFT JOIN s ON s.k = o_orderkey LEFT JOIN e ON e.k = o_orderkey""",
+         CASE WHEN o_orderstatus = 'F' THEN true END AS degraded, 'pr-' || o_custkey AS related_pr FROM orders LEFT JOIN s ON s.k = o_orderkey LEFT JOIN e ON e.k = o_orderkey""",
 )
 def enriched_reports(spark, sf):
     lines, orders = rel.table(spark, sf, "lineitem"), rel.table(spark, sf, "orders")
     run = F.col("l_orderkey").alias("pipeline_run_id")
     scans = lines.select(run, F.col("l_linenumber").cast("bigint").alias("findings_count"), (F.col("l_returnflag") != "R").alias("passed"))
-    edges = lines.where("l_quantity > 25").select(run, (F.col("l_tax") > 0.03).alias("passed"))
+    edges = lines.select(run, (F.col("l_tax") > 0.03).alias("passed"))
     reports = orders.select(F.col("o_orderkey").alias("pipeline_run_id"))
     degraded = orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("pipeline_run_id"), F.lit(True).alias("degraded"))
-    changes = orders.where("false").select(F.col("o_orderkey").alias("pipeline_run_id"), F.lit("").alias("related_pr"))
-    return tables.enrich_reports(reports, scans, edges, degraded, changes).drop("related_pr")
+    changes = orders.select(F.col("o_orderkey").alias("pipeline_run_id"), F.concat(F.lit("pr-"), "o_custkey").alias("related_pr"))
+    return tables.enrich_reports(reports, scans, edges, degraded, changes)
 
 
 @registry.add(

@@ -265,7 +265,7 @@ def first_cases(spark, sf):
     return reviews.first_cases(cases, ["submission"])
 
 
-VERDICT_WORDS = """a AS (SELECT conv_id, turn, text, CASE (conv_id + turn) % 6 WHEN 0 THEN '{"pass": true, "issues": []}'
+VERDICT_WORDS = """a AS (SELECT conv_id, turn, regexp_replace(text, '^\\s+', '') || ' ' || CASE (conv_id + turn) % 6 WHEN 0 THEN '{"pass": true, "issues": []}'
     WHEN 1 THEN 'Here it is: {"pass": false, "issues": ["bad"]} done' WHEN 2 THEN 'This looks GOOD' WHEN 3 THEN 'I reject this, it cannot pass'
     WHEN 4 THEN '{"pass": false}' ELSE 'no idea' END AS answer FROM conversations)"""
 
@@ -277,7 +277,7 @@ def answers(spark, sf):
         .when(k == 2, "This looks GOOD").when(k == 3, "I reject this, it cannot pass").when(k == 4, '{"pass": false}').otherwise("no idea")
     )
     return rel.table(spark, sf, "conversations").select(
-        F.col("conv_id").alias("submission"), F.concat(F.lit("r"), "turn").alias("reviewer"), reviews.parse_verdict(text).alias("v")
+        F.col("conv_id").alias("submission"), F.concat(F.lit("r"), "turn").alias("reviewer"), reviews.parse_verdict(F.concat("text", F.lit(" "), text)).alias("v")
     ).select("submission", "reviewer", "v.*")
 
 
@@ -323,14 +323,12 @@ def normalized_reviews(spark, sf):
 @registry.add(
     "response_scores",
     """SELECT conv_id, turn, CASE WHEN starts_with(t, 'ERROR:') THEN 0.0 WHEN length(t) <= 10 THEN 0.1 ELSE 0.5 END::DOUBLE AS score
-       FROM (SELECT conv_id, turn, regexp_replace(CASE turn % 3 WHEN 0 THEN ' ERROR: ' || text WHEN 1 THEN text[1:turn + 6] ELSE text END, '^\\s+|\\s+$', '', 'g') AS t FROM conversations)""",
+       FROM (SELECT conv_id, turn, regexp_replace(unnest([text, ' ERROR: ' || text, ' ' || role]), '^\\s+|\\s+$', '', 'g') AS t FROM conversations)""",
 )
 def response_scores(spark, sf):
-    turn = F.col("turn")
-    text = F.when(turn % 3 == 0, F.concat(F.lit(" ERROR: "), "text")).when(
-        turn % 3 == 1, F.substring("text", F.lit(1), (turn + 6).cast("int"))
-    ).otherwise(F.col("text"))
-    return rel.table(spark, sf, "conversations").select("conv_id", "turn", reviews.fallback_score(text).alias("score"))
+    forms = F.array(F.col("text"), F.concat(F.lit(" ERROR: "), "text"), F.concat(F.lit(" "), "role"))
+    rows = rel.table(spark, sf, "conversations").select("conv_id", "turn", F.explode(forms).alias("text"))
+    return rows.select("conv_id", "turn", reviews.fallback_score(F.col("text")).alias("score"))
 
 
 @registry.add(
@@ -365,13 +363,13 @@ def generated_files(spark, sf):
 @registry.add(
     "edge_case_prompts",
     """SELECT 'sub-' || (doc_id // 5) AS submission_name, 'edge-no_input_' || doc_id AS id, 'Edge case: no input ' || doc_id AS name,
-         length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS n_chars FROM documents WHERE doc_id % 4 <> 0""",
+         length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS n_chars FROM documents WHERE regexp_matches(text, '\\S')""",
 )
 def edge_case_prompts(spark, sf):
     k = F.col("doc_id")
-    files = rel.table(spark, sf, "documents").select(
-        F.concat(F.lit("sub-"), F.floor(k / 5)).alias(SUB), F.concat(F.lit("edge_cases/no_input_"), k, F.lit(".md")).alias("file_path"),
-        F.when(k % 4 == 0, " \n").otherwise(F.col("text")).alias("content"),
+    forms = F.explode(F.create_map(F.lit("no_input_"), F.col("text"), F.lit("blank_"), F.lit(" \n"))).alias("stem", "content")
+    files = rel.table(spark, sf, "documents").select("doc_id", forms).select(
+        F.concat(F.lit("sub-"), F.floor(k / 5)).alias(SUB), F.concat(F.lit("edge_cases/"), "stem", k, F.lit(".md")).alias("file_path"), "content"
     )
     prompts = reviews.edge_case_prompts(files)
     return prompts.select(SUB, "id", "name", F.length("prompt").cast("bigint").alias("n_chars"))
@@ -380,15 +378,14 @@ def edge_case_prompts(spark, sf):
 @registry.add(
     "quality_criteria",
     # a heading's pattern may start at an earlier heading, so the first section repeats what stands before it
-    """SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN length('## Common Issues.none.## Else.skip.## My Workflow.steps') + 2
-         + length('## Common Issues.none') ELSE length(text) END::BIGINT AS n FROM documents""",
+    """SELECT doc_id, unnest([length(text), length('## Common Issues.none.## Else.skip.## My Workflow.steps') + 2
+         + length('## Common Issues.none') + length(text)])::BIGINT AS n FROM documents""",
 )
 def quality_criteria(spark, sf):
-    body = F.when(
-        F.col("doc_id") % 2 == 0,
-        "---\nname: x\n---\n## Common Issues\nnone\n## Else\nskip\n## My Workflow\nsteps\n",
-    ).otherwise(F.col("text"))
-    return rel.table(spark, sf, "documents").select("doc_id", F.length(reviews.quality_criteria(body)).cast("bigint").alias("n"))
+    headed = "---\nname: x\n---\n## Common Issues\nnone\n## Else\nskip\n## My Workflow\nsteps"
+    forms = F.array(F.col("text"), F.concat(F.lit(headed), "text", F.lit("\n## Last\nskip\n")))
+    rows = rel.table(spark, sf, "documents").select("doc_id", F.explode(forms).alias("body"))
+    return rows.select("doc_id", F.length(reviews.quality_criteria(F.col("body"))).cast("bigint").alias("n"))
 
 
 @registry.add(

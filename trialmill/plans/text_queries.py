@@ -154,14 +154,15 @@ def broken_references(spark, sf):
 @registry.add(
     "thin_instructions",
     """SELECT 'sub-' || conv_id || '-' || turn AS submission_name, CASE WHEN length(b) < 10 THEN 'high' ELSE 'low' END AS severity
-       FROM (SELECT conv_id, turn, regexp_replace(text[1:turn * 12], '^\\s+|\\s+$', '', 'g') AS b FROM conversations)
+       FROM (SELECT conv_id, turn, regexp_replace(unnest([text, role, role || ' speaks in turn ' || turn]), '^\\s+|\\s+$', '', 'g') AS b FROM conversations)
        WHERE length(b) < 50""",
 )
 def thin_instructions(spark, sf):
-    files = rel.table(spark, sf, "conversations").select(
+    forms = F.array(F.col("text"), F.col("role"), F.concat("role", F.lit(" speaks in turn "), "turn"))
+    files = rel.table(spark, sf, "conversations").select("conv_id", "turn", F.explode(forms).alias("body")).select(
         F.concat_ws("-", F.lit("sub"), "conv_id", "turn").alias("submission_name"),
         F.lit("instruction.md").alias("file_path"),
-        F.concat(F.lit("---\nname: x\n---\n# Title\n"), F.substring("text", F.lit(1), (F.col("turn") * 12).cast("int"))).alias("content"),
+        F.concat(F.lit("---\nname: x\n---\n# Title\n"), "body").alias("content"),
     )
     return textscan.file_completeness(files).select("submission_name", "severity")
 
