@@ -29,7 +29,7 @@ GROUP_TOKENS = 4_000_000
 #: Triples combine two of so many of the commonest lengths with the length that is missing.
 COMMON_LENGTHS = 64
 ROUNDS = 150
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 VOCABULARY, MERGES, SPECIAL = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "<|endoftext|>"
 
 

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES, SLICE_ROWS = 2_000_000, 50_000
+SLICE_BYTES, SLICE_ROWS = 500_000, 50_000
 SHINGLE = 5
 
 _BASE = 0x9E3779B97F4A7C55  # odd, so that it has an inverse modulo 2**64
@@ -42,7 +42,7 @@ def _table(base: int, size: int) -> np.ndarray:
 def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers, _inverses
     if len(_powers) < size:
-        size = max(size, SLICE_BYTES + 1)
+        size = max(size, SLICE_BYTES + 1, len(_powers) * 3 // 2)
         _powers, _inverses = _table(_BASE, size), _table(pow(_BASE, -1, 2**64), size)
     return _powers, _inverses
 
