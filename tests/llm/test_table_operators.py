@@ -120,6 +120,17 @@ def test_propagation_and_verdicts(spark):
     assert link_trust.filtered_urls(df.where("page_id < 0")).count() == 0
 
 
+def test_seeds_weigh_judged_pages_only(spark):
+    urls = [(i, f"http://few.net/{'es' if i < 2 else 'en'}/{i}") for i in range(10)]  # 2 blocked, 8 without a rule
+    urls += [(20 + i, f"http://mixed.example.com/{'en' if i < 3 else 'fr'}/{i}") for i in range(4)]  # 3 blocked, 1 allowed
+    urls += [(30, "http://even.example.com/en/"), (31, "http://even.example.com/fr/"), (40, "http://plain.org/")]
+    df = spark.createDataFrame([(*u, None) for u in urls], "page_id long, url string, html string")
+    seeds = {r.host: (r.trust, r.distrust) for r in link_trust.seeds(link_trust.judged_by_rules(df)).collect()}
+    assert seeds == {"few.net": (0, 1), "mixed.example.com": (0, 0.5), "even.example.com": (0, 0)}
+    got = {r.page_id: r.verdict for r in link_trust.filtered_urls(df).collect()}
+    assert all(got[i] == "block" for i in range(10)) and got[23] == got[31] == got[40] == "allow"
+
+
 def test_quotes_are_linked_and_taken_out(spark):
     rows = [
         (1, 0, "user", "How do I sort?\nThanks"), (1, 1, "assistant", "Use order by."), (1, 2, "user", "> Use  ORDER by.\n\nAscending?"),

@@ -1,8 +1,8 @@
 """URL filters with link-graph propagation between hosts, with DataFrame operations only.
 
-Rules name a host and a path. Hosts whose pages the rules mostly allow or block are seeds. Trust follows links
-from allowed seeds (personalised PageRank over host edges), distrust runs against links from blocked seeds. A
-page without a rule is blocked if its host's distrust exceeds its trust by the threshold.
+Rules name a host and a path. Hosts with pages that a rule judges are seeds, weighted by the majority's lead among
+those pages. Trust follows links from allowed seeds (personalised PageRank over host edges), distrust runs against
+links from blocked seeds. A page without a rule is blocked if its host's distrust exceeds its trust by the threshold.
 """
 
 from __future__ import annotations
@@ -14,9 +14,7 @@ from trialmill.llm.store import saved
 
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 DAMPING, ROUNDS, WRITE_EVERY = 0.85, 16, 4
-#: Lead of one verdict, as a share of a host's pages, that makes the host a seed.
-SEED_LEAD = 0.6
-#: Distrust above trust from which a host is blocked; a host with every page blocked and no links has 1 - DAMPING.
+#: Distrust above trust from which a host is blocked; a host with every judged page blocked and no links has 1 - DAMPING.
 THRESHOLD = 0.5 * (1 - DAMPING)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -58,14 +56,12 @@ def host_edges(pages: DataFrame) -> DataFrame:
 
 
 def seeds(ruled: DataFrame) -> DataFrame:
-    """Per seed: trust and distrust, the majority's lead among all its pages; one of both is 0."""
-    by = ruled.where("host <> ''").groupBy("host").agg(
-        F.count(F.lit(1)).alias("pages"),
+    """Per host with judged pages: trust and distrust, the majority's lead among those pages; one of both is 0."""
+    by = ruled.where("host <> '' and ruled is not null").groupBy("host").agg(
         F.count_if(F.col("ruled") == "allow").alias("good"),
         F.count_if(F.col("ruled") == "block").alias("bad"),
     )
-    lead = (F.col("good") - F.col("bad")) / F.col("pages")
-    by = by.where(F.abs(lead) >= SEED_LEAD)
+    lead = (F.col("good") - F.col("bad")) / (F.col("good") + F.col("bad"))
     return by.select("host", F.greatest(lead, F.lit(0.0)).alias("trust"), F.greatest(-lead, F.lit(0.0)).alias("distrust"))
 
 
