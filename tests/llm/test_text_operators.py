@@ -170,6 +170,28 @@ def test_bands_reject_repetition_and_noise_and_keep_prose():
     assert compression.compression(b"", engine)[4] == "ok"
 
 
+def test_bands_test_the_tail_too():
+    import base64
+
+    import zstandard
+
+    engine, rnd = zstandard.ZstdCompressor(level=compression.LEVEL), np.random.default_rng(2)
+    vocabulary = ["".join(chr(97 + c) for c in rnd.integers(0, 26, rnd.integers(2, 9))) for _ in range(400)]
+    prose = " ".join(rnd.choice(vocabulary, 2000)).encode()
+    noise = base64.b64encode(rnd.bytes(8000))
+    low, high = compression.limits(8191)
+    for tail in (4095, 4096, 3000):  # 8191 bytes end in a shorter chunk, 8192 in a full one
+        data = prose[:4096] + noise[:tail]
+        ratio, *chunks, verdict = compression.compression(data, engine)
+        assert low < ratio < high and chunks == [2, 0, 1] and verdict == "incompressible", (tail, ratio)
+        assert compression.compression(prose[:4096] + b"spam " * (tail // 5 + 1), engine)[4] == "repetitive"
+        assert compression.compression(prose[: 4096 + tail], engine)[1:] == (2, 0, 0, "ok")
+    # a tail weighs its bytes: 1024 of 5120 bytes are under a quarter
+    assert compression.compression(prose[:4096] + noise[:1024], engine)[1:] == (2, 0, 1, "ok")
+    assert compression.compression(prose[:4096], engine)[1:] == (0, 0, 0, "ok")
+    assert compression.compression(prose[:4097], engine)[1:] == (2, 0, 0, "ok")
+
+
 def test_token_counts_equal_the_tokenizer(odd_docs):
     from tokenizers import Tokenizer, models, pre_tokenizers
 

@@ -2,7 +2,8 @@
 
 A ratio is compressed size by size in UTF-8 bytes. Repetitive text compresses far below ordinary prose,
 incompressible text (encoded data, noise) far above. What is ordinary depends on the length, because a short
-text has little to refer back to; each length class has limits of its own.
+text has little to refer back to; each length class has limits of its own. The last chunk may be shorter and has
+the limits of its own length, so every byte of a text longer than a chunk is tested.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ LEVEL = 3
 CHUNK_BYTES = 4096
 #: (from this many bytes on, ratios below reject, ratios above reject)
 BANDS = ((0, 0.0, 10.0), (64, 0.25, 1.25), (256, 0.22, 0.95), (1024, 0.20, 0.75), (4096, 0.18, 0.72), (65536, 0.16, 0.70))
-#: Share of a document's full chunks that may lie outside the limits of their length.
+#: Share of a document's bytes whose chunks may lie outside the limits of their length.
 CHUNKS_OUTSIDE = 0.25
 
 SYMBOLS = b"#*$%&|<>"
@@ -37,21 +38,27 @@ def limits(n_bytes: int) -> tuple[float, float]:
 
 
 def compression(data: bytes, engine: zstandard.ZstdCompressor) -> tuple[float | None, int, int, int, str]:
-    """Whole ratio, full chunks, chunks below and above their limits, and the verdict; an empty text is 'ok'."""
+    """Whole ratio, chunks, chunks below and above their limits, and the verdict; an empty text is 'ok'.
+
+    A text no longer than a chunk has no chunks. The verdict weighs chunks by their bytes.
+    """
     if not data:
         return None, 0, 0, 0, "ok"
     ratio = len(engine.compress(data)) / len(data)
     low, high = limits(len(data))
-    starts = range(0, len(data) - CHUNK_BYTES + 1, CHUNK_BYTES) if len(data) > CHUNK_BYTES else ()
-    least, most = limits(CHUNK_BYTES)
-    below = above = 0
+    starts = range(0, len(data), CHUNK_BYTES) if len(data) > CHUNK_BYTES else ()
+    below = above = bytes_below = bytes_above = 0
     for at in starts:
-        part = len(engine.compress(data[at : at + CHUNK_BYTES])) / CHUNK_BYTES
+        chunk = data[at : at + CHUNK_BYTES]
+        part = len(engine.compress(chunk)) / len(chunk)
+        least, most = limits(len(chunk))
         below += part < least
         above += part > most
-    if ratio < low or below > CHUNKS_OUTSIDE * len(starts):
+        bytes_below += len(chunk) * (part < least)
+        bytes_above += len(chunk) * (part > most)
+    if ratio < low or bytes_below > CHUNKS_OUTSIDE * len(data):
         verdict = "repetitive"
-    elif ratio > high or above > CHUNKS_OUTSIDE * len(starts):
+    elif ratio > high or bytes_above > CHUNKS_OUTSIDE * len(data):
         verdict = "incompressible"
     else:
         verdict = "ok"
