@@ -60,6 +60,33 @@ def test_jaccard_join_with_common_passages_and_chains(spark):
     assert got == brute_components(docs.collect())
 
 
+def test_rows_without_id_and_ids_of_several_texts_are_compared(spark):
+    def text(name, changed=0):  # of 200 words; 10 changed words at either end leave 0.8 or more in common, 20 do not
+        w = [f"{name}{i}" for i in range(200)]
+        w[: max(changed, 0)] = [f"{name}new{i}" for i in range(max(changed, 0))]
+        if changed < 0:
+            w[changed:] = [f"{name}end{i}" for i in range(-changed)]
+        return " ".join(w)
+
+    rows = [
+        (1, text("a")), (None, text("a")), (None, text("a", 9)),  # an exact and a near copy without id
+        (2, text("b", 16)), (None, text("b")), (3, text("b", -16)),  # id - null - id
+        (None, text("c")), (None, text("c", 9)), (None, text("c").upper()),  # no id at all
+        (None, "alone without an id"), (None, None), (None, " "), (None, " "), (4, None),
+        (5, text("d")), (5, text("e")), (5, ""), (6, text("e", 9)), (7, text("d", 9)), (0, text("e", -9)),  # id 5 links both
+        (8, text("f")), (8, text("f")), (9, text("f", 9)),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = collections.defaultdict(set)
+    for r in jaccard_join.similar_documents(docs).collect():
+        got[r.doc_id].add(r.component_id)
+    assert got == {None: {1, 2, None}, 1: {1}, 2: {2}, 3: {2}, 4: {4}, 5: {0}, 6: {0}, 7: {0}, 0: {0}, 8: {8}, 9: {8}}
+    kept = [(r.doc_id, r.text) for r in jaccard_join.one_of_each(docs).collect()]
+    assert sorted(k for k, _ in kept if k is not None) == [0, 1, 2, 4, 8]
+    loose = collections.Counter((t or "").strip()[:5].lower() for k, t in kept if k is None)
+    assert loose == {"c0 c1": 1, "alone": 1, "": 2} or loose == {"cnew0": 1, "alone": 1, "": 2}
+
+
 @pytest.mark.parametrize("gain", [1, 2])
 def test_similar_sets_share_an_entry_under_every_allocation(gain):
     rnd = np.random.default_rng(gain)
