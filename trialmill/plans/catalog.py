@@ -13,6 +13,7 @@ MODULES = (
     "engine_queries",
     "submission_queries",
     "storage_queries",
+    "history_queries",
 )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,3 +45,18 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="trialmill-checkpoint-"))
     return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that ``spark.checkpoint.dir`` names, which driver and executors share.
+
+    Only a local session without that setting gets a temporary folder.
+    """
+    top = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
+    if not top:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
+        top = "file://" + tempfile.mkdtemp(prefix="trialmill-shared-")
+        spark.conf.set(CHECKPOINT_CONF, top)
+    return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"

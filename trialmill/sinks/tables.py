@@ -205,3 +205,58 @@ def certification_documents(certified: DataFrame, key: list[str]) -> DataFrame:
     return certified.select(*key, F.to_json(F.struct("highest_level", levels.alias("levels"))).alias("document"))
 
 
+_GATE = (
+    "struct<gate_name:string,gate_type:string,policy_key:string,passed:boolean,score:double,mode:string,threshold:double,"
+    "findings:array<variant>,message:string,details:variant,evaluated_at:string>"
+)
+
+
+def scorecard_document_rows(scorecards: DataFrame) -> DataFrame:
+    """``scorecards`` rows from scorecard documents: pipeline_run_id, artifact_text, doc."""
+
+    def text(path: str) -> Column:
+        return F.try_variant_get("doc", path, "string")
+
+    counters = ("gates_passed", "gates_failed", "blocking_gates_passed", "blocking_gates_failed")
+    return scorecards.where(F.col("doc").isNotNull()).select(
+        run_key(F.col("pipeline_run_id"), F.col("artifact_text")).alias("pipeline_run_id"),
+        *[text(f"$.{c}").alias(c) for c in ("submission_name", "eval_engine", "recommendation", "recommendation_reason")],
+        text("$.policy.combination").alias("combination_mode"),
+        *[F.try_variant_get("doc", f"$.{c}", "int").alias(c) for c in counters],
+        F.coalesce(text("$.highest_certification"), F.lit("none")).alias("highest_certification"),
+        F.col("artifact_text").alias("scorecard_json"),
+    )
+
+
+def gate_result_rows(scorecards: DataFrame) -> DataFrame:
+    """``gate_results`` rows: one per gate of a scorecard document, in its order.
+
+    A gate without a policy key is looked up by its name. Empty details are null; a missing mode is warn.
+    """
+    gates = scorecards.where(F.col("doc").isNotNull()).select(
+        run_key(F.col("pipeline_run_id"), F.col("artifact_text")).alias("pipeline_run_id"),
+        F.posexplode(F.try_variant_get("doc", "$.gates", f"array<{_GATE}>")).alias("gate_no", "g"),
+    )
+    details = F.to_json("g.details")
+    return gates.select(
+        "pipeline_run_id", "gate_no", "g.gate_name", "g.gate_type",
+        F.coalesce(F.nullif("g.policy_key", F.lit("")), "g.gate_name").alias("policy_key"),
+        "g.passed", "g.score", F.coalesce("g.mode", F.lit("warn")).alias("mode"), "g.threshold",
+        F.coalesce(F.size("g.findings"), F.lit(0)).alias("findings_count"), "g.message",
+        F.when(details != "{}", details).alias("details_json"), "g.evaluated_at",
+    )
+
+
+def certification_rows(scorecards: DataFrame) -> DataFrame:
+    """``certifications`` rows: one per level of a scorecard document that was certified; no failed check is null."""
+    level = "struct<level:string,passed:boolean,checks_total:int,checks_passed:int,checks:array<struct<check_id:string,passed:boolean>>>"
+    levels = F.array(*[F.try_variant_get("doc", f"$.certification.{x}", level) for x in ("foundational", "trusted", "certified")])
+    rows = scorecards.where(F.col("doc").isNotNull()).select(
+        run_key(F.col("pipeline_run_id"), F.col("artifact_text")).alias("pipeline_run_id"), F.explode(levels).alias("l")
+    )
+    failed = F.transform(F.filter("l.checks", lambda c: ~c["passed"]), lambda c: c["check_id"])
+    return rows.where("l is not null").select(
+        "pipeline_run_id", "l.level", "l.passed", "l.checks_total", "l.checks_passed",
+        (F.col("l.checks_total") - F.col("l.checks_passed")).alias("checks_failed"),
+        F.when(F.size(failed) > 0, failed).alias("failed_checks"),
+    )

@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from trialmill.sinks import tables
+from trialmill.sinks.history import HistoryStore
 
+#: Files of one micro-batch, so that a first run over a long history comes in batches as well.
+FILES_PER_TRIGGER = 10_000
 
-def report_stream(spark: SparkSession, root: str, files_per_trigger: int | None = None) -> DataFrame:
+
+def report_stream(spark: SparkSession, root: str, files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
     """Stream of report files: pipeline_run_id (parent folder), artifact_text, doc."""
     reader = (
         spark.readStream.format("text")
@@ -43,3 +47,20 @@ def ingest_stream(
         "checkpointLocation", checkpoint
     )
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()
+
+
+def ingest_history(reports: DataFrame, store: HistoryStore, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Stores each micro-batch in the partitioned history, all tables of it or nothing, exactly once.
+
+    A batch is known by the stream's id, which its checkpoint keeps, and its number: one that was committed before
+    the checkpoint noted it is left out when it comes again, one that was not committed is written anew. No state
+    is kept per run; repeats in other batches meet the history's own filters.
+    """
+
+    def put(batch: DataFrame, number: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        docs = batch.withColumn("doc", F.try_parse_json("artifact_text"))
+        store.store({"evaluation_runs": tables.report_runs(docs), "trials": tables.report_trials(docs)}, f"{stream}-{number}")
+
+    writer = reports.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()
