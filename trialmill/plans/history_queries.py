@@ -12,6 +12,7 @@ from trialmill.plans.registry import Registry, rounded
 from trialmill.session import shared_folder
 from trialmill.sinks import tables
 from trialmill.sinks.history import HistoryStore, merge_scans
+from trialmill.sources.file_index import indexed_files
 
 registry = Registry()
 BUCKETS = 8
@@ -149,3 +150,20 @@ def merged_scans(spark, sf):
     history.compact("security_scans")
     stored = history.read("security_scans")
     return stored.select("pipeline_run_id", "scanner", "findings_count", "scan_mode", "passed", F.col("findings")[0]["rule_id"].alias("finding"))
+
+
+@registry.add(
+    "indexed_run_files",
+    """SELECT c_nationkey::VARCHAR AS submission_name, c_mktsegment AS run_dir, count(*) AS n, sum(c_custkey)::BIGINT AS keys
+       FROM customer WHERE c_nationkey < 20 GROUP BY ALL""",
+)
+def indexed_run_files(spark, sf):
+    """A file per nation and segment is written, and the files of some nations are read through the file index."""
+    root = shared_folder(spark, "run-files")
+    lines = rel.table(spark, sf, "customer").select(F.col("c_nationkey").alias("s"), F.col("c_mktsegment").alias("r"), F.col("c_custkey").cast("string").alias("value"))
+    lines.repartition("s", "r").write.partitionBy("s", "r").text(root)
+    files = indexed_files(spark, root, "part-*.txt", partitions=8)
+    folder = lambda name: F.url_decode(F.regexp_extract("path", f"{name}=([^/]*)/", 1))
+    found = files.select(folder("s").alias("submission_name"), folder("r").alias("run_dir"), F.explode(F.split(F.rtrim("content", F.lit("\n")), "\n")).alias("k"))
+    found = found.where(F.col("submission_name").cast("int") < 20)
+    return found.groupBy("submission_name", "run_dir").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("k").cast("long")).alias("keys"))

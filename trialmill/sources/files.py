@@ -1,7 +1,7 @@
 """Result and submission files as tables.
 
-Files are read whole through Spark's file sources, so listing and reading are spread over the cluster
-and a path column tells which run a file belongs to. JSON is kept as VARIANT: absent, corrupt and
+Files are read whole through Spark's file source, whose listing passes through the driver; for folders with very many
+files :mod:`trialmill.sources.file_index` lists in the tasks. A path column tells which run a file belongs to. JSON is kept as VARIANT: absent, corrupt and
 readable documents stay distinguishable, and numbers keep their JSON type.
 """
 
@@ -33,7 +33,7 @@ def read_files(spark: SparkSession, root: str, name_glob: str) -> DataFrame:
         relative_path(F.col("path"), root).alias("path"),
         F.col("modificationTime").alias("modified"),
         F.col("length").alias("size"),
-        F.decode("content", "UTF-8").alias("content"),
+        F.make_valid_utf8(F.col("content").cast("string")).alias("content"),  # bytes that are no UTF-8 are replaced
     )
 
 
@@ -63,14 +63,14 @@ def trial_rows(files: DataFrame, run: Column | None = None) -> DataFrame:
     keys = F.map_keys(F.try_variant_get(doc, "$", "map<string,variant>"))
     job = doc.isNotNull() & ~F.coalesce(F.array_contains(keys, "verifier_result"), F.lit(False))
     rows = files.where(F.col("path").endswith("result.json") & ~job).select(
-        (F.element_at(parts, 1) if run is None else run).alias("pipeline_run_id"),
-        F.element_at(parts, 2).alias("_folder"),
+        (F.try_element_at(parts, F.lit(1)) if run is None else run).alias("pipeline_run_id"),
+        F.try_element_at(parts, F.lit(2)).alias("_folder"),
         _parent(F.col("path")).alias("trial_name"),
         trial_reward(doc).alias("reward"),
         F.col("modified").alias("created_at"),
     )
     ab = files.select(
-        (F.element_at(parts, 1) if run is None else run).alias("pipeline_run_id"), F.element_at(parts, 2).alias("_f")
+        (F.try_element_at(parts, F.lit(1)) if run is None else run).alias("pipeline_run_id"), F.try_element_at(parts, F.lit(2)).alias("_f")
     ).groupBy("pipeline_run_id").agg(F.bool_or(F.col("_f").isin(*AB_DIRS)).alias("_ab"))
     known = rows.join(ab, "pipeline_run_id")
     variant = F.when(F.col("_ab") & F.col("_folder").isin(*AB_DIRS), F.col("_folder")).when(
