@@ -43,20 +43,35 @@ def skill_references(spark, sf):
     return references.skill_edges(linked_skills(spark, sf))
 
 
+IN_CYCLES = f"""{LINKED}, c AS (SELECT g, g AS cycle, k, t FROM edges WHERE g % 3 = 0
+          UNION ALL SELECT g, least(k, t) + 1000000, k, t FROM edges WHERE g % 3 = 2 AND t IS NOT NULL),
+        whole AS (SELECT g, cycle, list(k ORDER BY k) AS ks, min('sk-' || k) AS first FROM c GROUP BY g, cycle
+          HAVING max(t) <= (SELECT max(doc_id) FROM documents))"""
+
+
 @registry.add(
-    "circular_references",
-    f"""WITH {LINKED}, c AS (SELECT g, g AS cycle, k, t FROM edges WHERE g % 3 = 0
-          UNION ALL SELECT g, least(k, t) + 1000000, k, t FROM edges WHERE g % 3 = 2 AND t IS NOT NULL)
-        SELECT 'sub-' || g AS submission_name, count(*) AS n_nodes, string_agg('sk-' || k, ',' ORDER BY 'sk-' || k) AS nodes
-        FROM c GROUP BY g, cycle HAVING max(t) <= (SELECT max(doc_id) FROM documents)""",
+    "cycle_members",
+    f"""WITH {IN_CYCLES} SELECT 'sub-' || g AS submission_name, len(ks) AS n_nodes,
+          array_to_string(list_sort(list_transform(ks, lambda k: 'sk-' || k)), ',') AS nodes FROM whole""",
 )
-def circular_references(spark, sf):
+def cycle_members(spark, sf):
     members = references.cycle_components(references.skill_edges(linked_skills(spark, sf)))
     return members.groupBy(SUB, "component").agg(
         F.count(F.lit(1)).alias("n_nodes"), F.array_join(F.array_sort(F.collect_set("node")), ",").alias("nodes")
     ).drop("component")
 
 
+@registry.add(
+    "circular_references",
+    f"""WITH {IN_CYCLES}, placed AS (SELECT *, list_position(list_transform(ks, lambda k: 'sk-' || k), first) AS i FROM whole)
+        SELECT 'sub-' || g AS submission_name, 'skills/' || first || '/SKILL.md' AS file_path, 'medium' AS severity, 'quality-circular-reference' AS rule_id,
+          'circular_reference' AS category, 'Circular reference detected: ' ||
+          array_to_string(list_transform(ks[i:] || ks[:i], lambda k: 'sk-' || k), ' -> ') AS message FROM placed""",
+)
+def circular_references(spark, sf):
+    return references.circular_references(linked_skills(spark, sf)).drop("line")
+
+
 def part_metadata(spark, sf):
     k = F.col("p_partkey")
     return rel.table(spark, sf, "part").select(
