@@ -21,8 +21,32 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written to the shared folder and read again: lineage ends there and lost executors cost nothing."""
-    path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Spark deletes a query's shuffle files when it has ended; of use where the result is written down.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def saved(df: DataFrame, name: str, keep_shuffles: bool = True) -> DataFrame:
+    """The rows, written to the shared folder and read again: lineage ends there and lost executors cost nothing.
+
+    With ``keep_shuffles`` false the shuffle files behind the rows are deleted as soon as they are written.
+    """
+    spark = df.sparkSession
+    path = shared_folder(spark, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    if not keep_shuffles:
+        spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.saved_at = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes what :func:`saved` wrote, after its last use."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.saved_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,7 +7,8 @@ longer text) at a time. Words and word sequences are identified by 64-bit hashes
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,27 @@ def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers, _inverses
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def released(task: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """The task, after which its worker gives its memory back: workers live on idle while other stages run."""
+
+    def run(batches: Batches) -> Batches:
+        global _powers, _inverses
+        try:
+            yield from task(batches)
+        finally:
+            _powers, _inverses = np.ones(1, np.uint64), np.ones(1, np.uint64)
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (OSError, AttributeError):  # another C library
+                pass
+
+    return run
+
+
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``most`` bytes of text and ``SLICE_ROWS`` rows, or of one row."""
     size = np.asarray(pc.fill_null(pc.binary_length(texts), 0))
