@@ -69,9 +69,9 @@ def released(task: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]
     return run
 
 
-def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of at most ``most`` bytes of text and ``SLICE_ROWS`` rows, or of one row."""
-    size = np.asarray(pc.fill_null(pc.binary_length(texts), 0))
+def slices(texts: pa.Array, most: int = SLICE_BYTES, sizes: pa.Array | None = None) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``most`` bytes of text and ``SLICE_ROWS`` rows, or of one row; ``sizes`` where texts are compressed."""
+    size = np.asarray(pc.fill_null(pc.binary_length(texts) if sizes is None else sizes, 0))
     first, total = 0, 0
     for i, n in enumerate(size.tolist()):
         if i > first and (total + n > most or i - first >= SLICE_ROWS):
