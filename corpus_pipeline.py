@@ -38,8 +38,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of 2048; one row per piece."""
-    return packed(docs)
+    """Token sequences of 2048; one row per piece, with its token ids."""
+    return packed(docs, with_ids=True)
 
 
 STAGES = [
