@@ -59,3 +59,23 @@ def test_order_of_history_trend_and_latest(spark):
 def test_newest_runs_are_limited_before_the_shuffle(spark):
     plan = history.degradation(runs(spark, [0.1, 0.2]))._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_positions_pages_and_changes(spark):
+    rows = [("a", f"r{i}", i // 2, "pass", i / 10, i / 20, None, i, i) for i in range(7)] + [("b", "x", 3, "fail", None, 0.5, 0.5, 1, 2)]
+    schema = (
+        "submission_name string, pipeline_run_id string, created_at int, recommendation string, uplift double, "
+        "treatment_pass_rate double, control_pass_rate double, treatment_n_trials int, control_n_trials int"
+    )
+    runs = spark.createDataFrame(rows, schema).repartition(3)
+    numbered = history.numbered_history(runs)
+    place = {(r.submission_name, r.pipeline_run_id): r.position for r in numbered.collect()}
+    assert place == {("a", f"r{i}"): 7 - i for i in range(7)} | {("b", "x"): 1}
+    assert sorted(r.pipeline_run_id for r in history.history_page(numbered, 3, after=2).collect()) == ["r2", "r3", "r4"]
+    got = {(r.submission_name, r.position): r for r in history.trend_changes(runs).collect()}
+    assert got["a", 1].uplift_change is None and got["a", 2].uplift_change == 0.1 and got["a", 5].treatment_n_trials_change == 1
+    assert got["a", 3].control_pass_rate_change is None and got["b", 1].uplift_change is None and len(got) == 8
+    latest = {r.pipeline_run_id: r.position for r in history.numbered_latest(runs).collect()}
+    assert latest == {"r6": 1, "x": 2}
+    plan = history.trend_changes(runs)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan  # what was sorted has been written down

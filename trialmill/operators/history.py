@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from trialmill.functions.ranks import positions
+
 # Fixed values
 DEGRADATION_THRESHOLD = 0.85
 MONITORED_THRESHOLD = 0.80
@@ -59,6 +61,42 @@ def trend(runs: DataFrame, submission: str | None = None) -> DataFrame:
     ).orderBy(*order)
 
 
+def numbered_history(runs: DataFrame, oldest_first: bool = False) -> DataFrame:
+    """Runs with their ``position`` in the submission's history and ``rows_of_key``, its number of runs.
+
+    Newest first unless ``oldest_first``; equal times are ordered by run id. The order is a column, so nothing is
+    sorted as a whole and a submission with most of the runs is no single task.
+    """
+    order = [F.col("created_at"), F.col("pipeline_run_id")]
+    return positions(runs, ["submission_name"], [c.asc() if oldest_first else c.desc() for c in order]).drop("part")
+
+
+def history_page(numbered: DataFrame, size: int, after: int = 0) -> DataFrame:
+    """The runs of every submission that follow position ``after``, ``size`` at most."""
+    return numbered.where(F.col("position").between(after + 1, after + size))
+
+
+def numbered_latest(runs: DataFrame) -> DataFrame:
+    """Every submission's latest run with its ``position`` among all of them, newest first."""
+    order = [F.col("created_at").desc(), F.col("submission_name").asc(), F.col("pipeline_run_id").asc()]
+    return positions(latest_runs(runs), [], order).drop("part", "rows_of_key")
+
+
+# Fixed values
+TREND = ("uplift", "treatment_pass_rate", "control_pass_rate", "treatment_n_trials", "control_n_trials")
+
+
+def trend_changes(runs: DataFrame) -> DataFrame:
+    """Trend with positions, oldest first, and ``<measure>_change`` against the run before; null for the first run.
+
+    Neighbours meet in a join on submission and position, which no submission crowds.
+    """
+    rows = numbered_history(runs, oldest_first=True).select("submission_name", "pipeline_run_id", "created_at", "recommendation", *TREND, "position")
+    before = rows.select("submission_name", (F.col("position") + 1).alias("position"), *(F.col(c).alias(f"_{c}") for c in TREND))
+    rows = rows.join(before, ["submission_name", "position"], "left")
+    return rows.withColumns({f"{c}_change": F.col(c) - F.col(f"_{c}") for c in TREND}).drop(*(f"_{c}" for c in TREND))
+
+
 def score_ratio(current: Column, previous: Column) -> Column:
     """current / previous; a previous score of 0 gives 0 for another 0 and infinity otherwise."""
     return (

@@ -215,6 +215,51 @@ def run_trend(spark, sf):
     return rounded(df.withColumn("created_at", F.col("created_at").cast("string")))
 
 
+BY_TIME = "PARTITION BY submission_name ORDER BY created_at, pipeline_run_id"
+
+
+@registry.add(
+    "history_positions",
+    f"""WITH {RUNS} SELECT submission_name, pipeline_run_id, row_number() OVER (PARTITION BY submission_name ORDER BY created_at DESC, pipeline_run_id DESC) AS position,
+        count(*) OVER (PARTITION BY submission_name) AS rows_of_key FROM runs""",
+)
+def history_positions(spark, sf):
+    return history.numbered_history(rel.runs(spark, sf)).select("submission_name", "pipeline_run_id", "position", "rows_of_key")
+
+
+@registry.add(
+    "trend_changes",
+    f"""WITH {RUNS} SELECT submission_name, pipeline_run_id, recommendation, row_number() OVER w AS position, (uplift - lag(uplift) OVER w) + 0.0 AS uplift_change,
+        (treatment_pass_rate - lag(treatment_pass_rate) OVER w) + 0.0 AS treatment_pass_rate_change,
+        (control_pass_rate - lag(control_pass_rate) OVER w) + 0.0 AS control_pass_rate_change,
+        treatment_n_trials - lag(treatment_n_trials) OVER w AS treatment_n_trials_change, control_n_trials - lag(control_n_trials) OVER w AS control_n_trials_change
+        FROM runs WINDOW w AS ({BY_TIME})""",
+)
+def trend_changes(spark, sf):
+    df = history.trend_changes(rel.runs(spark, sf))
+    return rounded(df.select("submission_name", "pipeline_run_id", "recommendation", "position", *[f"{c}_change" for c in history.TREND]))
+
+
+@registry.add(
+    "latest_positions",
+    f"""WITH {RUNS}, top AS (SELECT *, rank() OVER (PARTITION BY submission_name ORDER BY created_at DESC) AS r FROM runs)
+        SELECT submission_name, pipeline_run_id, row_number() OVER (ORDER BY created_at DESC, submission_name, pipeline_run_id) AS position FROM top WHERE r = 1""",
+)
+def latest_positions(spark, sf):
+    return history.numbered_latest(rel.runs(spark, sf)).select("submission_name", "pipeline_run_id", "position")
+
+
+@registry.add(
+    "latest_run_of_one",
+    f"""WITH {RUNS} SELECT submission_name, CAST(max(created_at) AS VARCHAR) AS created_at FROM runs
+        WHERE submission_name = (SELECT min(submission_name) FROM runs) GROUP BY ALL""",
+)
+def latest_run_of_one(spark, sf):
+    runs = rel.runs(spark, sf)
+    name = runs.agg(F.min("submission_name")).first()[0]
+    return history.latest_of(runs, name).select("submission_name", F.col("created_at").cast("string").alias("created_at"))
+
+
 def degradation_sql(keys: str, threshold: str, source: str = "runs") -> str:
     return f"""ordered AS (
           SELECT *, row_number() OVER w AS nth, lead(treatment_pass_rate) OVER w AS previous_score,
