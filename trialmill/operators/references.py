@@ -249,10 +249,11 @@ def reference_cycles(edges: DataFrame, most_edges: int = MOST_EDGES) -> DataFram
     one whose last names are smallest. Submissions are searched each in one task, which reads its references as
     a stream; those with more than ``most_edges`` are searched by joins instead, level by level, with the same result.
     """
+    edges = reliable_checkpoint(edges.select(SUB, "src", "dst"))  # texts are searched once
     sizes = edges.groupBy(SUB).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most_edges).select(SUB)
     large = reliable_checkpoint(sizes)
     plain = edges if large.isEmpty() else edges.join(large, SUB, "left_anti")
-    small = plain.select(SUB, "src", "dst").repartition(SUB).sortWithinPartitions(SUB, "src", "dst").mapInArrow(_search, _CYCLES)
+    small = plain.repartition(SUB).sortWithinPartitions(SUB, "src", "dst").mapInArrow(_search, _CYCLES)
     if large.isEmpty():
         return small
     rest = reliable_checkpoint(edges.join(large, SUB, "left_semi"))
@@ -272,7 +273,7 @@ def cycle_components(edges: DataFrame) -> DataFrame:
 
 def circular_references(files: DataFrame) -> DataFrame:
     """One medium finding per group of skills that refer to each other in a circle, with a chain that does so."""
-    cycles = reference_cycles(reliable_checkpoint(skill_edges(files))).withColumn("skill", F.element_at("chain", 1))
+    cycles = reference_cycles(skill_edges(files)).withColumn("skill", F.element_at("chain", 1))
     paths = skills(files).groupBy(SUB, "skill").agg(F.max("file_path").alias("file_path"))
     message: Column = F.concat(F.lit("Circular reference detected: "), F.array_join("chain", " -> "))
     return cycles.join(paths, [SUB, "skill"], "left").select(
