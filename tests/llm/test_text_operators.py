@@ -219,6 +219,24 @@ def test_bands_test_the_tail_too():
     assert compression.compression(prose[:4097], engine)[1:] == (2, 0, 0, "ok")
 
 
+def test_bands_reject_given_documents_that_the_base_rule_keeps(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "quality").distinct()
+    rows = compression.quality_rules(docs).where("not base_failed").join(labels, "doc_id", "left").collect()
+    bands = {}
+    for r in rows:
+        assert r.kept == (r.band_verdict == "ok")
+        low, high = compression.limits(r.n_bytes, compression.TEXT_BANDS)
+        assert r.kept or not low <= r.ratio <= high or r.chunks_low + r.chunks_high > 0
+        bands.setdefault(r.quality, collections.Counter())[r.kept] += 1
+    rejected = sum(c[False] for c in bands.values())
+    assert 0 < rejected < 0.1 * len(rows)
+    assert bands[0][False] > bands[0][True]  # most poor documents that the base rule keeps
+    assert bands[1][False] <= 0.005 * bands[1][True]  # hardly any good one
+    wide = compression.quality_rules(docs, compression.BANDS).where("not base_failed and not kept").count()
+    assert wide < rejected
+
+
 def test_token_counts_equal_the_tokenizer(odd_docs):
     from tokenizers import Tokenizer, models, pre_tokenizers
 
