@@ -95,7 +95,10 @@ def with_next(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), bucket.alias("bucket"))
     firsts = rows.groupBy("bucket").agg(F.min("doc_id").alias("first"))
     order = following(firsts.select(F.col("bucket").alias("key")))
-    order = order.withColumn("next", F.coalesce("next", F.min("key").over(Window.partitionBy())))
+    # after the last range comes the first: one row joined with one row
+    least = order.groupBy(F.lit(1).alias("one")).agg(F.min("key").alias("next"))
+    last = order.where("next is null").withColumn("one", F.lit(1)).select("key", "one").join(least, "one").select("key", "next")
+    order = order.where("next is not null").unionByName(last)
     order = order.join(firsts.select(F.col("bucket").alias("next"), "first"), "next").select("next", "first", F.col("key").alias("target"))
     if order.count() <= BROADCAST_ROWS:
         order = F.broadcast(order)
