@@ -14,6 +14,7 @@ MODULES = (
     "submission_queries",
     "storage_queries",
     "history_queries",
+    "metadata_queries",
 )
 
 
