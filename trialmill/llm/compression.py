@@ -24,8 +24,9 @@ LEVEL = 3
 CHUNK_BYTES = 4096
 #: (from this many bytes on, ratios below reject, ratios above reject), wide enough for any writing
 BANDS = ((0, 0.0, 10.0), (64, 0.25, 1.25), (256, 0.22, 0.95), (1024, 0.20, 0.75), (4096, 0.18, 0.72), (65536, 0.16, 0.70))
-#: Limits of running text as the given corpus has it, a class for every power of two: the low limit lies just below the
-#: least ratio of 2641 labelled good documents outside the held-out fifth, the high limit a fifth above their greatest.
+#: Limits of running text as the given corpus has it, a class for every power of two: the low limit lies below the least
+#: ratio of 2641 labelled good documents outside the held-out fifth (from 256 bytes on by 0.02 at most), the high limit about a
+#: fifth above their greatest.
 #: Beyond 32 KB, where labels are few, the limits go on evenly. Lists of made-up words may fall below them.
 TEXT_BANDS = (
     (0, 0.0, 10.0), (64, 0.70, 1.35), (128, 0.60, 1.10), (256, 0.57, 0.89), (512, 0.50, 0.82), (1024, 0.465, 0.70),
