@@ -153,6 +153,94 @@ def test_quotes_are_linked_and_taken_out(spark):
     assert quotes.linked_conversations(df.where("turn < 0")).count() == 0
 
 
+QUOTED = "conv_id long, turn long, role string, text string, thread string, row long, n long, source string, block int"
+
+
+def brute_links(rows):
+    """The source of each quoted passage of {(conv, turn): text}, run by run in plain loops."""
+
+    def runs_of_lines(text):
+        out = []
+        for at, line in enumerate(re.split("\r?\n", text)):
+            marks = re.match(r"\s*((?:>[ \t]*)+)", line)
+            level = marks.group(1).count(">") if marks else 0
+            words = re.findall(r"[^\W_]+", line.lower()) if not marks else re.findall(r"[^\W_]+", line[marks.end() :].lower())
+            if out and out[-1][1] == level:
+                out[-1][2].append(words)
+            else:
+                out.append((at, level, [words]))
+        return [(at, level, parts, sum(parts, [])) for at, level, parts in out if sum(parts, [])]
+
+    found = {place: runs_of_lines(text) for place, text in rows.items()}
+    links = {}
+    for (conv, turn), own in found.items():
+        earlier = sorted(((t, words) for (c, t), ps in found.items() if c == conv and t < turn for _, level, _, words in ps if level == 0), reverse=True)
+        for at, level, parts, words in own:
+            if not level:
+                continue
+            runs = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+            runs |= {tuple(p) for p in parts if 0 < len(p) < 5}
+            score = collections.defaultdict(lambda: [False, 0])
+            for run in runs:
+                near = next((t for t, w in earlier if any(tuple(w[i : i + len(run)]) == run for i in range(len(w) - len(run) + 1))), None)
+                if near is not None:
+                    score[near][1] += len(run)
+            same = next((t for t, w in earlier if w == words), None)
+            if same is not None:
+                score[same][0] = True
+            links[conv, turn, at] = max(((*v, t) for t, v in score.items()), default=(None,))[-1]
+    return links
+
+
+def test_passages_are_found_rewrapped_in_part_and_nested(spark):
+    first = "The engine reads every file of the folder, then sorts\nthem by their names and writes one table."
+    rows = [
+        (1, 0, "u", first), (1, 1, "a", "Which folder do you mean here? I know three of them."),
+        (1, 2, "u", "> The engine reads every file\n> of the folder, then sorts them\n> by their names and writes one table.\nAll of them?"),
+        (1, 3, "u", "> sorts them by their names\nWhy?"), (1, 4, "a", ">> every file of the folder, then sorts\n> All of them?\nYes"),
+        (1, 5, "u", "> Which folder do you mean here? I know three of them.\n> reads every file of the folder\nMixed"), (1, 6, "u", "> folder\n\n> nothing of this was ever said\n"),
+        (1, 6, "u", "> three of them\n"), (1, 6, "u", "> three of them\n"),
+    ]
+    df = spark.createDataFrame([(*r, "x", 1, 2, "y", 3) for r in rows], QUOTED)
+    got = {(r.turn, r.level, r.words): r.source for r in quotes.quoted_passages(df).collect()}
+    assert got == {(2, 1, 18): 0, (3, 1, 5): 0, (4, 2, 7): 0, (4, 1, 3): 2, (5, 1, 17): 1, (6, 1, 1): 1, (6, 1, 6): None, (6, 1, 3): 1}
+    placed = {(r.turn, r.text): r for r in quotes.linked_conversations(df).collect()}
+    assert placed[2, "All of them?"].reply_to == 0 and placed[4, "Yes"].reply_to == 2 and placed[4, "Yes"].thread == 0
+    assert quotes.linked_conversations(df).columns == quotes.linked_conversations(df.select("conv_id", "turn", "role", "text")).columns
+
+
+def test_links_agree_with_brute_force(spark):
+    rnd = np.random.default_rng(3)
+    rows, vocabulary = {}, [f"w{i}" for i in range(12)] + ["Öl", "né"]
+    for conv in range(12):
+        for turn in range(rnd.integers(2, 9)):
+            lines = []
+            for _ in range(rnd.integers(1, 5)):
+                level = rnd.integers(0, 3) if turn else 0
+                lines.append("> " * level + " ".join(rnd.choice(vocabulary, rnd.integers(0, 7))))
+                if level and rnd.random() < 0.7:  # a part of an earlier message, wrapped anew
+                    said = re.sub(r"(?m)^[> ]*", "", rows[conv, int(rnd.integers(0, turn))]).split()
+                    at = rnd.integers(0, len(said) + 1)
+                    piece = said[at : at + rnd.integers(1, 15)]
+                    lines += ["> " * level + " ".join(piece[i : i + 4]) for i in range(0, len(piece), 4)]
+            rows[conv, turn] = "\n".join(lines)
+    df = spark.createDataFrame([(c, t, "u", x) for (c, t), x in rows.items()], "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn, r.passage): r.source for r in quotes.quoted_passages(df).collect()}
+    want = brute_links(rows)
+    assert got == want and sum(v is not None for v in want.values()) > 25
+
+
+def test_long_messages_and_long_threads(spark):
+    """A message of 20,000 lines of alternating levels, and a conversation in which thousands answer one message."""
+    long = "\n".join(f"> word{i} and some more here\nanswer {i}" for i in range(10_000))
+    said = "\n".join(f"word{i} and some more here" for i in range(10_000))
+    rows = [(1, 0, "u", said), (1, 1, "u", long)] + [(2, t, "u", "> the one and only start of it\nme too" if t else "the one and only start of it") for t in range(3000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): r for r in quotes.linked_conversations(df).collect()}
+    assert got[1, 1].passages == got[1, 1].linked == 10_000 and got[1, 1].reply_to == 0
+    assert all(got[2, t].position == t + 1 and got[2, t].thread == 0 for t in range(3000))
+
+
 def test_stages_handle_odd_rows_and_keep_columns(spark, odd_docs, no_docs, tmp_path):
     labels = [(i * 7, i % 2, 0) for i in range(60)]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
