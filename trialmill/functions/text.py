@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from trialmill.functions.stats import let
 
+#: From here on the parts of a product with 20 000 are not exact, and shortest forms tell ties well enough.
+_WHOLE = 2.0**37
+
 # Line terminators and the remaining Unicode whitespace
 TERMINATORS = r"\n\r\x{0B}\x{0C}\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}"
 LINE_BREAK = rf"\r\n|[{TERMINATORS}]"
@@ -70,3 +73,33 @@ def strip_fences(text: Column) -> Column:
 def slug(label: Column) -> Column:
     """Lower case, runs of other characters become one dash, none at the ends."""
     return F.regexp_replace(F.regexp_replace(F.lower(label), "[^a-z0-9]+", "-"), "^-+|-+$", "")
+
+
+def decimals(x: Column, digits: int) -> Column:
+    """A double with ``digits`` (0 to 4) decimals, rounded by its exact binary value and half to even.
+
+    Java rounds the shortest decimal form and half up, so that 0.125 becomes 0.13 there and 0.12 here. Twice the
+    scaled number is compared with the nearest whole one; the product is taken in two parts, each of them exact.
+    Null stays null; infinities and NaN are spelled inf, -inf and nan.
+    """
+    scale = 2.0 * 10**digits
+    high = x.cast("float").cast("double")
+    nearest = F.rint(x * scale)
+    beyond = (high * scale - nearest) + (x - high) * scale
+    down = F.floor(nearest / 2)
+    tie = F.pmod(nearest, F.lit(2.0)) == 1
+    up = tie & ((beyond > 0) | ((beyond == 0) & (F.pmod(down, F.lit(2)) == 1)))
+    whole = down + F.when(up, 1).otherwise(0)
+    text = F.format_string(f"%.{digits}f", F.abs(whole) / 10.0**digits)
+    return (
+        F.when(x.isNull(), None)
+        .when(F.isnan(x), "nan")
+        .when(F.abs(x) == float("inf"), F.when(x > 0, "inf").otherwise("-inf"))
+        .when(F.abs(x) >= _WHOLE, F.format_string(f"%.{digits}f", F.bround(x, digits)))
+        .otherwise(F.concat(F.when(x < 0, "-").otherwise(""), text))
+    )
+
+
+def percent(x: Column, digits: int) -> Column:
+    """A share in percent with ``digits`` decimals."""
+    return F.concat(decimals(x * 100, digits), F.lit("%"))

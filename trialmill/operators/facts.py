@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trialmill.functions.text import decimals, percent
 from trialmill.operators.certify import LEVELS
 
 # Fixed values
@@ -26,10 +27,6 @@ def change_url(base: str, repository: Column, number: Column) -> Column:
     return F.when((repository != "") & (number != ""), F.concat(F.lit(base), repository, F.lit("/pull/"), number))
 
 
-def percent(x: Column) -> Column:
-    return F.coalesce(F.format_string("%.1f%%", x * 100), F.lit("N/A"))
-
-
 def _mark(text: Column) -> Column:
     return F.struct(F.lit("mrkdwn").alias("type"), text.alias("text"))
 
@@ -43,14 +40,18 @@ def alert_payload(results: DataFrame, run_url: str | None = None) -> DataFrame:
     )
     run = F.coalesce("current_run_id", F.lit("N/A"))
     linked = run if run_url is None else F.when(run == "N/A", run).otherwise(F.concat(F.lit(f"<{run_url}|"), run, F.lit(">")))
+
+    def shown(score: Column) -> Column:
+        return F.coalesce(percent(score, 1), F.lit("N/A"))
+
     basic = [
         _mark(F.concat(F.lit("*Skill:*\n"), "submission_name")),
         _mark(F.concat(F.lit("*Run ID:*\n"), linked)),
-        _mark(F.concat(F.lit("*Score:*\n"), percent(F.col("current_score")))),
+        _mark(F.concat(F.lit("*Score:*\n"), shown(F.col("current_score")))),
     ]
     baseline = [
-        _mark(F.concat(F.lit("*Baseline:*\n"), percent(F.col("previous_score")))),
-        _mark(F.concat(F.lit("*Ratio:*\n"), F.coalesce(F.format_string("%.2f", "ratio"), F.lit("N/A")))),
+        _mark(F.concat(F.lit("*Baseline:*\n"), shown(F.col("previous_score")))),
+        _mark(F.concat(F.lit("*Ratio:*\n"), F.coalesce(decimals(F.col("ratio"), 2), F.lit("N/A")))),
         _mark(F.concat(F.lit("*Threshold:*\n"), F.col("threshold").cast("string"))),
     ]
     fields = F.when(F.col("previous_score").isNotNull(), F.array(*basic, *baseline)).otherwise(F.array(*basic))

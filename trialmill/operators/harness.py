@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialmill.functions.stats import let, ratio
+from trialmill.functions.text import decimals, percent
 
 # Fixed values
 HARNESS_THRESHOLD = 0.5
@@ -152,7 +153,7 @@ def single_run_findings(judges: DataFrame, key: list[str]) -> DataFrame:
     low = own.select(
         *key,
         F.when(F.col("value") < 0.25, "high").otherwise("medium").alias("severity"),
-        F.format_string("Case %s scored low: reward=%.2f", "case_id", "value").alias("message"),
+        F.concat(F.lit("Case "), "case_id", F.lit(" scored low: reward="), decimals(F.col("value"), 2)).alias("message"),
         F.col("case_id").alias("location"),
         F.lit("aeh-low-reward").alias("rule_id"),
     )
@@ -187,8 +188,7 @@ def judge_summary(judges: Column) -> Column:
         rate = F.try_variant_get(e["value"], "$.pass_rate", "double")
         mean = F.try_variant_get(e["value"], "$.mean", "double")
         bare = F.when(kind_of(e["value"]) != "object", F.try_variant_get(e["value"], "$", "double"))
-        percent = F.concat(F.round(rate * 100, 0).cast("int").cast("string"), F.lit("%"))
-        text = F.coalesce(percent, F.format_string("%.2f", F.coalesce(mean, bare)))
+        text = F.coalesce(percent(rate, 0), decimals(F.coalesce(mean, bare), 2))
         return F.when(
             rate.isNotNull() | mean.isNotNull() | bare.isNotNull(), F.concat(e["key"], F.lit("="), text)
         )

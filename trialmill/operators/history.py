@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from trialmill.functions.ranks import positions
+from trialmill.functions.text import decimals, percent
 
 # Fixed values
 DEGRADATION_THRESHOLD = 0.85
@@ -108,6 +109,11 @@ def score_ratio(current: Column, previous: Column) -> Column:
 def judge_degradation(pairs: DataFrame, threshold: Column | float) -> DataFrame:
     """Add ratio, verdict and message to rows with current_score, previous_score and enough_runs."""
     limit = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
+
+    def shown(score: str) -> Column:
+        return F.coalesce(percent(F.col(score), 2), F.lit("N/A"))
+
+    rate, bound = F.coalesce(decimals(F.col("ratio"), 2), F.lit("N/A")), F.concat(F.col("threshold").cast("string"), F.lit(")"))
     return (
         pairs.withColumn("threshold", limit)
         .withColumn(
@@ -117,9 +123,9 @@ def judge_degradation(pairs: DataFrame, threshold: Column | float) -> DataFrame:
         .withColumn("degraded", F.coalesce(F.col("ratio") < F.col("threshold"), F.lit(False)))
         .withColumn(
             "message",
-            F.when(~F.col("enough_runs"), F.concat(F.lit("Not enough data: found "), "n_runs", F.lit(" run(s)")))
-            .when(F.col("degraded"), "Degradation detected")
-            .otherwise("No degradation"),
+            F.when(~F.col("enough_runs"), F.concat(F.lit("Not enough data: found "), "n_runs", F.lit(" run(s), need at least 2")))
+            .when(F.col("degraded"), F.concat(F.lit("Degradation detected: score dropped from "), shown("previous_score"), F.lit(" to "), shown("current_score"), F.lit(" (ratio: "), rate, F.lit(" < "), bound))
+            .otherwise(F.concat(F.lit("No degradation: score is "), shown("current_score"), F.lit(" (ratio: "), rate, F.lit(" >= "), bound)),
         )
     )
 

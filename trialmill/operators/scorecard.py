@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trialmill.functions.stats import ratio
+from trialmill.functions.text import decimals
 
 # Fixed values
 DEFAULT_MODE = "warn"
@@ -135,7 +136,7 @@ def combine(gates: DataFrame, key: list[str], runs: DataFrame | None = None) ->
     warned = F.col("warning_gates_failed") > 0
     free = F.col("n_blocking") == 0
     let_through = F.col("blocking_gates_passed") > 0
-    shown = F.format_string("%.2f", total)
+    shown = decimals(total, 2)
     verdict = (
         F.when(none, "fail")
         .when(all_pass & blocked, "fail")

@@ -242,10 +242,15 @@ def stored_responses(spark, sf):
     parts = F.when(role == "agent", F.concat_ws(",", part, thought, call)).otherwise(part)
     message = F.concat(F.lit('{"role":"'), role, F.lit('","parts":['), parts, F.lit("]}"))
     history = F.transform(F.array_sort(F.collect_list(F.struct("turn", message.alias("m")))), lambda t: t["m"])
-    docs = turns.groupBy("conv_id").agg(history.alias("history"))
+    docs = turns.groupBy("conv_id").agg(history.alias("history"), F.count("text").alias("n"), F.sum(F.length("text")).alias("chars"))
+    counts = F.struct(
+        F.col("chars").alias("promptTokenCount"), F.col("n").alias("candidatesTokenCount"),
+        F.when(F.col("conv_id") % 2 == 0, F.col("n") * 3).alias("cachedContentTokenCount"),
+    )
+    usage = F.concat(F.lit(',"metadata":'), F.to_json(F.struct(counts.alias("adk_usage_metadata"))))
     return docs.select(
         F.col("conv_id").alias("run_id"), F.lit("do it").alias("instruction"),
-        F.parse_json(F.concat(F.lit('{"history":['), F.array_join("history", ","), F.lit("]}"))).alias("doc"),
+        F.parse_json(F.concat(F.lit('{"history":['), F.array_join("history", ","), F.lit("]"), usage, F.lit("}"))).alias("doc"),
     )
 
 
@@ -267,11 +272,13 @@ def trajectory_steps(spark, sf):
 
 @registry.add(
     "trajectory_totals",
-    """SELECT conv_id AS run_id, count(*) FILTER (WHERE role IN ('user', 'assistant')) AS total_steps FROM conversations GROUP BY ALL""",
+    """SELECT conv_id AS run_id, count(*) FILTER (WHERE role IN ('user', 'assistant')) AS total_steps,
+         sum(length(text))::BIGINT AS total_prompt_tokens, count(text) AS total_completion_tokens, CASE WHEN conv_id % 2 = 0 THEN count(text) * 3 END AS total_cached_tokens
+       FROM conversations GROUP BY conv_id""",
 )
 def trajectory_totals(spark, sf):
     docs = stored_responses(spark, sf)
-    return trajectory.trajectory_totals(docs, trajectory.trajectory_steps(docs, RUN), RUN).select("run_id", "total_steps")
+    return trajectory.trajectory_totals(docs, trajectory.trajectory_steps(docs, RUN), RUN)
 
 
 def model_calls(spark, sf):

@@ -95,16 +95,13 @@ def facts_to_push(spark, sf):
                          WHEN fw IS NOT NULL THEN 'Warning gates failed: ' || fw ELSE 'All gates passed' END
                     WHEN combination = 'any_pass' THEN CASE WHEN nb = 0 THEN 'No blocking gates configured'
                          WHEN pb IS NOT NULL THEN 'Blocking gates passed: ' || pb ELSE 'No blocking gates passed: ' || ab END
-                    ELSE 'weighted' END AS reason
+                    ELSE printf('Weighted score %.2f ', round(w, 12)) || CASE WHEN round(w, 12) >= 0.7 THEN '>= 0.70' WHEN round(w, 12) >= 0.5 THEN 'between 0.50-0.70' ELSE '< 0.50' END END AS reason
         FROM t""",
 )
 def scorecard_verdict(spark, sf):
     cards = rel.scorecards(spark, sf)
     df = scorecard.combine(judged_gates(spark, sf), ID, cards)
-    reason = F.when(
-        (F.col("combination_mode") == "weighted") & (F.col("weighted_score").isNotNull()), "weighted"
-    ).otherwise(F.col("recommendation_reason"))
-    return rounded(df.withColumn("reason", reason).drop("recommendation_reason"))
+    return rounded(df.withColumnRenamed("recommendation_reason", "reason"))
 
 
 @registry.add(

@@ -273,12 +273,16 @@ def degradation_sql(keys: str, threshold: str, source: str = "runs") -> str:
                       ELSE treatment_pass_rate / previous_score END AS ratio
           FROM ordered WHERE nth = 1)
         SELECT {keys}, {r6('current_score previous_score threshold ratio')}, current_run_id, previous_run_id, n_runs,
-               coalesce(ratio < threshold, false) AS degraded FROM judged"""
+               coalesce(ratio < threshold, false) AS degraded,
+               CASE WHEN n_runs < 2 THEN 'Not enough data: found ' || n_runs || ' run(s), need at least 2'
+                 WHEN ratio < threshold THEN printf('Degradation detected: score dropped from %.2f%% to %.2f%% (ratio: %.2f < ', previous_score * 100, current_score * 100, ratio) || threshold || ')'
+                 ELSE 'No degradation: score is ' || coalesce(printf('%.2f%%', current_score * 100), 'N/A') || ' (ratio: ' || coalesce(printf('%.2f', ratio), 'N/A') || ' >= ' || threshold || ')' END AS message
+        FROM judged"""
 
 
 @registry.add("degradation", f"WITH {RUNS}, {degradation_sql('submission_name', '0.85::DOUBLE')}")
 def degradation(spark, sf):
-    return rounded(history.degradation(rel.runs(spark, sf)).drop("message", "enough_runs"))
+    return rounded(history.degradation(rel.runs(spark, sf)).drop("enough_runs"))
 
 
 @registry.add(
@@ -286,7 +290,7 @@ def degradation(spark, sf):
 )
 def degradation_by_engine(spark, sf):
     df = history.degradation(rel.runs(spark, sf), by=("submission_name", "eval_engine"))
-    return rounded(df.drop("message", "enough_runs"))
+    return rounded(df.drop("enough_runs"))
 
 
 MONITORED = """monitored AS (
@@ -311,7 +315,7 @@ def monitored_degradation(spark, sf):
         )
         .distinct()
     )
-    return rounded(history.monitored_degradation(rel.runs(spark, sf), monitored).drop("message", "enough_runs"))
+    return rounded(history.monitored_degradation(rel.runs(spark, sf), monitored).drop("enough_runs"))
 
 
 @registry.add(

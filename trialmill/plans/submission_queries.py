@@ -430,23 +430,31 @@ def scenario_gaps(spark, sf):
     "alert_headers",
     f"""WITH {RUNS}, alerts AS (SELECT * FROM (WITH {degradation_sql('submission_name, eval_engine', '0.85::DOUBLE')}))
         SELECT submission_name, current_run_id, CASE WHEN degraded THEN chr(128680) || ' [' || upper(eval_engine) || '] Performance Degradation Detected'
-          ELSE chr(9989) || ' [' || upper(eval_engine) || '] Monitoring Pass' END AS header FROM alerts""",
+          ELSE chr(9989) || ' [' || upper(eval_engine) || '] Monitoring Pass' END AS header,
+        to_json({{'blocks': [
+          to_json({{'type': 'header', 'text': {{'type': 'plain_text', 'text': header, 'emoji': true}}}}),
+          to_json({{'type': 'section', 'fields': list_transform(['*Skill:*' || chr(10) || submission_name, '*Run ID:*' || chr(10) || current_run_id,
+            '*Score:*' || chr(10) || coalesce(printf('%.1f%%', current_score * 100), 'N/A')] || CASE WHEN previous_score IS NULL THEN [] ELSE
+            ['*Baseline:*' || chr(10) || printf('%.1f%%', previous_score * 100), '*Ratio:*' || chr(10) || coalesce(printf('%.2f', ratio), 'N/A'),
+             '*Threshold:*' || chr(10) || threshold] END, lambda x: {{'type': 'mrkdwn', 'text': x}})}}),
+          to_json({{'type': 'context', 'elements': [{{'type': 'mrkdwn', 'text': message}}]}})]}})::VARCHAR AS payload FROM alerts""",
 )
 def alert_headers(spark, sf):
     df = history.degradation(rel.runs(spark, sf), by=("submission_name", "eval_engine"))
-    return facts.alert_payload(df).drop("payload")
+    return facts.alert_payload(df)
 
 
 @registry.add(
     "gate_fact_refs",
-    f"""WITH {ITEMS}, {CARDS}, {GATES}, {JUDGED} SELECT scorecard_id, 'facts:demo_' || gate_name || CASE WHEN gate_order % 2 = 0 THEN '_impl' ELSE '' END AS fact_ref
-        FROM judged WHERE push_fact""",
+    f"""WITH {ITEMS}, {CARDS}, {GATES}, {JUDGED} SELECT scorecard_id, 'facts:demo_' || gate_name || CASE WHEN gate_order % 2 = 0 THEN '_impl' ELSE '' END AS fact_ref,
+        to_json({{'facts': [{{'factRef': fact_ref, 'entityRef': 'component:demo', 'data': {{'gate_name': gate_name, 'passed': passed, 'score': score::DOUBLE,
+          'mode': mode, 'message': ''}}}}]}})::VARCHAR AS payload FROM judged WHERE push_fact""",
 )
 def gate_fact_refs(spark, sf):
     named = gate_queries.judged_gates(spark, sf).withColumn(
         "policy_key", F.when(F.col("gate_order") % 2 == 0, "impl").otherwise(F.col("gate_name"))
     )
-    return facts.gate_facts(named, ["scorecard_id"], "facts:demo_", "component:demo").drop("payload")
+    return facts.gate_facts(named, ["scorecard_id"], "facts:demo_", "component:demo")
 
 
 @registry.add(
