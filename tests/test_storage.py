@@ -155,6 +155,34 @@ def test_degradation_stream_equals_the_batch_answer(spark, tmp_path):
         assert last.score_variance == pytest.approx(r.score_variance) and last.run_count == r.run_count
 
 
+def test_degradation_stream_places_late_runs_and_runs_without_score(spark, tmp_path):
+    """Two shuffled batches: the second's newest run gets the batch answer though its predecessor came late."""
+    from trialmill.operators.history import degradation, score_variance
+
+    start = dt.datetime(2026, 1, 1)
+    scores = {"a": [0.9, 0.8, 0.7, 0.2], "b": [0.5, None, 0.5], "c": [0.4, 0.0, 0.3], "d": [None, 0.6]}
+    rows = {(n, i): (n, "ase", f"{n}{i}", start + dt.timedelta(days=i), x) for n, xs in scores.items() for i, x in enumerate(xs)}
+    source, out, state = (str(tmp_path / x) for x in ("runs", "out", "state"))
+    first = [("a", 1), ("a", 0), ("b", 1), ("c", 0), ("d", 1)]
+    for batch in (first, [k for k in reversed(rows) if k not in first and k != ("a", 3)], [("a", 3)]):
+        spark.createDataFrame([rows[k] for k in batch], RUN).coalesce(1).write.mode("append").parquet(source)
+        stream = degradation_stream(spark.readStream.schema(RUN).parquet(source))
+        query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state).trigger(availableNow=True).start()
+        query.awaitTermination(180)
+    got = {r.current_run_id: r for r in spark.read.parquet(out).collect()}
+    assert len(got) == len(rows)
+    assert {k for k, r in got.items() if r.late} == {"b0", "d0"}
+    runs = spark.createDataFrame(list(rows.values()), RUN)
+    answers = {r.submission_name: r for r in degradation(runs, by=("submission_name", "eval_engine")).collect()}
+    spreads = {r.submission_name: r for r in score_variance(runs, by=("submission_name", "eval_engine")).collect()}
+    for n in "abc":
+        r, mine = answers[n], got[answers[n].current_run_id]
+        assert (mine.degraded, mine.previous_run_id, mine.previous_score, mine.ratio) == (r.degraded, r.previous_run_id, r.previous_score, r.ratio)
+        assert mine.score_variance == pytest.approx(spreads[n].score_variance) and mine.run_count == spreads[n].run_count
+    assert got["b1"].current_score is None and got["b2"].previous_score is None and got["b2"].score_variance == 0.0
+    assert got["d1"].previous_run_id is None and got["d0"].ratio is None
+
+
 def test_profiles_and_policies(spark):
     assert config.available_profiles() == ["skill", "mcp_server", "plugin", "agent", "full"]
     assert config.load_profile()["trusted"][0] == "evaluation_assets"

@@ -26,6 +26,11 @@ def build_session(cpus: int | str = "*", app_name: str = "trialmill") -> SparkSe
         .config("spark.driver.memory", os.environ.get("TRIALMILL_DRIVER_MEMORY", "8g"))
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
+        # keyed stream state with lists needs it
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
