@@ -280,6 +280,23 @@ def pairwise_outcome(spark, sf):
     return rounded(pairwise.pairwise_outcome(counts).drop("decisive", "all_ties", "recommendation"))
 
 
+@registry.add(
+    "pairwise_gate",
+    f"""WITH {CASES}, t AS (SELECT *, CASE WHEN substr(submission_name, 5)::INT % 3 = 0 THEN 0.3 ELSE 0.5 END::DOUBLE AS threshold,
+          CASE WHEN substr(submission_name, 5)::INT % 2 = 0 THEN 'block' ELSE 'warn' END AS mode FROM o)
+        SELECT submission_name, 'engine' AS gate_type, 'evaluation' AS gate_name, 'harness' AS policy_key, mode, threshold, wins_a / total AS score,
+        (wins_a + wins_b = 0 AND ties > 0 AND errors = 0) OR wins_a / total >= threshold AS passed FROM t""",
+)
+def pairwise_gate(spark, sf):
+    number = F.substring("submission_name", 5, 20).cast("int")
+    found = pairwise.pairwise_outcome(pairwise.count_outcomes(pairwise_cases(spark, sf), ["submission_name"])).select(
+        "*", F.lit("harness").alias("eval_engine"), F.when(number % 2 == 0, "block").otherwise("warn").alias("mode"),
+        F.when(number % 3 == 0, 0.3).alias("policy_threshold"),
+    )
+    rows = gates.pairwise_gate(found, ["submission_name"])
+    return rounded(rows.select("submission_name", "gate_type", "gate_name", "policy_key", "mode", "threshold", "score", "passed"))
+
+
 @registry.add(
     "pairwise_report",
     f"""WITH {CASES}, p AS (SELECT 'sub-' || c_custkey AS submission_name, 20 + c_custkey % 5 AS tn,

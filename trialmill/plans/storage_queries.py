@@ -99,6 +99,66 @@ def preferred_run_document(spark, sf):
     return src.preferred_run_document(files).select("submission_name", "run_dir")
 
 
+def checkpoint_files(spark, sf):
+    """One metrics checkpoint per order; every tenth cannot be read, every third has no model call."""
+    k = F.col("o_orderkey")
+    calls = F.when(k % 3 == 0, F.lit("{}")).otherwise(F.concat(
+        F.lit('{"review":{"prompt_tokens":'), k, F.lit(',"completion_tokens":'), k % 7, F.lit(',"model_name":"m'), k % 2, F.lit('"},"scan":{}}')
+    ))
+    text = F.concat(F.lit('{"token_usage":'), calls, F.lit(',"timings":{"scan":{"start_time":1.5,"end_time":'), k, F.lit("},\"review\":{}}}"))
+    return rel.table(spark, sf, "orders").select(
+        F.concat(F.lit("r"), k, F.lit("/"), F.when(k % 11 == 0, "other.json").otherwise("_metrics_checkpoint.json")).alias("path"),
+        F.when(k % 10 == 0, "{bad").otherwise(text).alias("content"),
+    )
+
+
+@registry.add(
+    "checkpoint_calls",
+    """WITH k AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 10 <> 0 AND o_orderkey % 11 <> 0 AND o_orderkey % 3 <> 0)
+       SELECT 'r' || k AS pipeline_run_id, 'review' AS phase, k AS prompt_tokens, (k % 7)::BIGINT AS completion_tokens, 'm' || (k % 2) AS model FROM k
+       UNION ALL SELECT 'r' || k, 'scan', 0, 0, NULL FROM k""",
+)
+def checkpoint_calls(spark, sf):
+    return src.metrics_checkpoints(checkpoint_files(spark, sf))[0]
+
+
+@registry.add(
+    "checkpoint_timings",
+    """WITH k AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 10 <> 0 AND o_orderkey % 11 <> 0)
+       SELECT 'r' || k AS pipeline_run_id, 'scan' AS phase, 1.5::DOUBLE AS start_time, k::DOUBLE AS end_time FROM k
+       UNION ALL SELECT 'r' || k, 'review', NULL, NULL FROM k""",
+)
+def checkpoint_timings(spark, sf):
+    return src.metrics_checkpoints(checkpoint_files(spark, sf))[1]
+
+
+@registry.add(
+    "readable_reports",
+    """SELECT 'r' || o_orderkey AS pipeline_run_id, o_orderstatus, o_orderkey * 2 AS uplift FROM orders WHERE o_orderkey % 10 <> 0 AND o_orderkey % 7 <> 0""",
+)
+def readable_reports(spark, sf):
+    k = F.col("o_orderkey")
+    orders = rel.table(spark, sf, "orders")
+    files = orders.where(k % 7 != 0).select(
+        F.concat(F.lit("r"), k, F.lit("/report.json")).alias("path"),
+        F.when(k % 10 == 0, "not json").otherwise(F.concat(F.lit('{"uplift":'), k * 2, F.lit("}"))).alias("content"),
+    )
+    runs = orders.select(F.concat(F.lit("r"), k).alias("pipeline_run_id"), "o_orderstatus")
+    found = src.readable_reports(runs, src.documents(files, "report.json"))
+    return found.select("pipeline_run_id", "o_orderstatus", F.try_variant_get("doc", "$.uplift", "bigint").alias("uplift"))
+
+
+@registry.add(
+    "run_dirs",
+    """SELECT DISTINCT 'runs/c' || o_custkey || '/i' || (o_orderkey % 3) AS run_dir FROM orders WHERE o_orderkey % 5 < 3""",
+)
+def run_dirs(spark, sf):
+    k = F.col("o_orderkey")
+    name = F.when(k % 5 == 0, "summary.yaml").when(k % 5 < 3, "summary.json").otherwise("notes.txt")
+    path = F.concat(F.when(k % 2 == 0, "./").otherwise(""), F.lit("runs/c"), "o_custkey", F.when(k % 4 == 1, "//").otherwise("/"), F.lit("i"), k % 3, F.lit("/"), name)
+    return src.run_dirs(rel.table(spark, sf, "orders").select(path.alias("path")))
+
+
 def job_manifest(spark, sf):
     k = F.col("event_id")
     return rel.table(spark, sf, "events").select(
