@@ -140,3 +140,21 @@ def test_runs_from_their_files(spark):
     assert {k: (r.mean_reward, r.mode) for k, r in got.items()} == {"both": (0.25, "single"), "summary": (0.5, "pairwise"), "null": (None, "single"), "bad": (0.0, "single")}
     assert (got["both"].num_turns, got["both"].n_infra_errors, got["both"].n_trial_errors, got["both"].tokens) == (4, 1, 0, '{"in":1}')
     assert [tuple(m) for m in got["both"].run_metrics] == [("cost", "1.5"), ("turns.max", "3")]
+
+def test_few_files_of_short_rows_are_read_by_many_tasks(spark, tmp_path):
+    from trialmill.plans import metadata_queries
+
+    spark.range(100).selectExpr("id AS p_partkey", "'n' AS p_name", "1 AS p_size").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    files = metadata_queries.metadata_files(spark, str(tmp_path))
+    assert files.count() == 100
+    assert files.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_lines_of_every_shape_keep_their_paths(spark):
+    text = "a:\r\n- - x # c\n  - 'it''s'\n- {k: [1, {m: yes}], n: \"q\\n\"}\nb: |\n  one\n   two # kept\n\nc: plain\n  goes on\n#d: no\ne: {\"j\": null}\n"
+    df = spark.createDataFrame([("f", text), ("g", None)], "f string, content string")
+    rows = [(".".join(r.path), r.kind, r.value) for r in md.document_paths(df).collect()]
+    assert rows == [
+        ("a.0.0", "string", "x"), ("a.0.1", "string", "it's"), ("a.1.k.0", "number", "1"), ("a.1.k.1.m", "bool", "true"), ("a.1.n", "string", "q\n"),
+        ("b", "string", "one\n two # kept\n"), ("c", "string", "plain goes on"), ("e.j", "null", None),
+    ]

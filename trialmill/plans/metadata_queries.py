@@ -31,7 +31,7 @@ _LINES = f"""texts AS (SELECT 'sub-' || p_partkey AS submission_name, {_TEXT} AS
 
 
 def metadata_files(spark, sf):
-    return rel.table(spark, sf, "part").select(F.concat(F.lit("sub-"), "p_partkey").alias(SUB), F.expr(_TEXT.replace("chr(10)", "'\\n'")).alias("content"))
+    return rel.spread(rel.table(spark, sf, "part").select("p_partkey", "p_name", "p_size")).select(F.concat(F.lit("sub-"), "p_partkey").alias(SUB), F.expr(_TEXT.replace("chr(10)", "'\\n'")).alias("content"))
 
 
 @registry.add(

@@ -10,6 +10,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows dealt evenly over several times as many tasks as there are cores, for costly work on each.
+
+    Spark cuts a table into tasks by bytes: a small file of many short rows is read by one, whatever follows.
+    """
+    spark = rows.sparkSession
+    return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism))
+
+
 def trials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One trial per event; one run per user and week, so the number of runs grows with the table."""
     week = F.date_format(F.date_trunc("week", "ts"), "yyyyMMdd")

@@ -29,6 +29,7 @@ _DOUBLE = rf'\A"((?:[^"\\]|\\.)*)"[ \t]*{_COMMENT}'
 _SINGLE = rf"\A'((?:[^']|'')*)'[ \t]*{_COMMENT}"
 _NUMBER = r"\A[-+]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][-+]?\d+)?\z"
 _FLOW_TOKEN = r""""(?:[^"\\]|\\.)*"|'(?:[^']|'')*'|[\[\]{},]|:(?=[\s\[{]|\z)|(?<=["']):|(?:[^\s\[\]{},:"']|:(?=[^\s\[{])|[ \t]+(?=[^\s\[\]{},:]))+"""
+_JSON = r"""\A(?:\[|\{\s*["}])"""
 # Fixed values
 NULLS = ("", "~", "null", "Null", "NULL")
 TRUE = ("true", "True", "TRUE", "yes", "Yes", "YES", "on", "On", "ON")
@@ -36,7 +37,8 @@ FALSE = ("false", "False", "FALSE", "no", "No", "NO", "off", "Off", "OFF")
 
 
 def _plain(raw: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(raw, r"(?:\A|[ \t]+)#.*\z", ""), r"[ \t]+\z", "")
+    bare = F.when(raw.contains("#"), F.regexp_replace(raw, r"(?:\A|[ \t]+)#.*\z", "")).otherwise(raw)
+    return F.regexp_replace(bare, r"[ \t]+\z", "")
 
 
 def _unescaped(text: Column) -> Column:
@@ -47,13 +49,14 @@ def _unescaped(text: Column) -> Column:
 def _unquoted(raw: Column) -> Column:
     double, single = F.regexp_extract(raw, _DOUBLE, 1), F.regexp_extract(raw, _SINGLE, 1)
     return (
-        F.when(raw.rlike(_DOUBLE), _unescaped(double)).when(raw.rlike(_SINGLE), F.replace(single, F.lit("''"), F.lit("'"))).otherwise(_plain(raw))
-    )
+        F.when(raw.startswith('"') & raw.rlike(_DOUBLE), _unescaped(double))
+        .when(raw.startswith("'") & raw.rlike(_SINGLE), F.replace(single, F.lit("''"), F.lit("'"))).otherwise(_plain(raw))
+    )
 
 
 def _kind(raw: Column, value: Column) -> Column:
     return (
-        F.when(raw.rlike(_DOUBLE) | raw.rlike(_SINGLE), "string")
+        F.when((raw.startswith('"') & raw.rlike(_DOUBLE)) | (raw.startswith("'") & raw.rlike(_SINGLE)), "string")
         .when(value.isin(*NULLS), "null")
         .when(value.isin(*TRUE, *FALSE), "bool")
         .when(value.rlike(_NUMBER), "number")
@@ -68,44 +71,66 @@ def _normal(kind: Column, value: Column) -> Column:
     return F.when(kind == "null", F.lit(None).cast("string")).when(kind == "bool", flag).otherwise(value)
 
 
+def _lines(text: Column) -> Column:
+    """The lines of a text: number, indentation, list dashes, whether a key follows, its raw value, the column below which a
+    block that it opens lies (null: it opens none). Patterns are matched here, once per line."""
+
+    def line(x: Column, i: Column) -> Column:
+        spaces = F.length(x) - F.length(F.ltrim(x))
+        return F.struct(i.cast("int").alias("no"), spaces.alias("indent"), F.regexp_replace(F.ltrim(x), r"[ \t]+\z", "").alias("text"))
+
+    def cut(x: Column) -> Column:
+        dashes = F.when(x["text"].startswith("-"), F.regexp_extract(x["text"], _DASHES, 1)).otherwise("")
+        return let({"x": x, "dashes": dashes}, lambda v: v["x"].withField("dashes", v["dashes"]).withField("rest", F.substr(v["x"]["text"], F.length(v["dashes"]) + 1)))
+
+    def keyed(x: Column) -> Column:
+        return x.withField("keyed", x["rest"].contains(":") & x["rest"].rlike(_KEY))
+
+    def valued(x: Column) -> Column:
+        return x.withField("raw", F.when(x["keyed"], F.regexp_extract(x["rest"], _KEY, 2)).otherwise(x["rest"]))
+
+    def opening(x: Column) -> Column:
+        may = (x["keyed"] | (x["dashes"] != "")) & (x["raw"].startswith("|") | x["raw"].startswith(">")) & ~x["text"].startswith("#")
+        column = x["indent"] + F.length(x["dashes"]) - F.when(x["keyed"], 0).otherwise(1)
+        return x.withField("opens", F.when(may & x["raw"].rlike(_BLOCK), column).cast("int"))
+
+    lines = F.transform(F.split(text, "\n", -1), line)
+    for step in (cut, keyed, valued, opening):
+        lines = F.transform(lines, step)
+    return lines
+
+
 def _marks(lines: Column) -> Column:
-    """For every line of a literal or folded block the number of the line that opens it, else null."""
+    """For every line of a literal or folded block the number of the line that opens it, else null; no marks without blocks."""
     start = F.struct(F.lit(None).cast("int").alias("at"), F.lit(None).cast("int").alias("head"), F.array().cast("array<int>").alias("marks"))
 
     def step(s: Column, line: Column) -> Column:
         inside = F.coalesce((line["text"] == "") | (line["indent"] > s["at"]), F.lit(False))
-        dashes = F.regexp_extract(line["text"], _DASHES, 1)
-        rest = F.substr(line["text"], F.length(dashes) + 1)
-        keyed = rest.rlike(_KEY)
-        opens = F.when(keyed, F.regexp_extract(rest, _KEY, 2)).otherwise(F.when(dashes != "", rest).otherwise("")).rlike(_BLOCK)
-        opens = opens & ~line["text"].startswith("#")
-        column = line["indent"] + F.length(dashes) - F.when(keyed, 0).otherwise(1)
         return F.struct(
-            F.when(inside, s["at"]).when(opens, column).cast("int").alias("at"),
-            F.when(inside, s["head"]).when(opens, line["no"]).cast("int").alias("head"),
-            F.concat(s["marks"], F.array(F.when(inside, s["head"]).cast("int"))).alias("marks"),
+            F.when(inside, s["at"]).otherwise(line["opens"]).alias("at"),
+            F.when(inside, s["head"]).when(line["opens"].isNotNull(), line["no"]).alias("head"),
+            F.concat(s["marks"], F.array(F.when(inside, s["head"]))).alias("marks"),
         )
 
-    return F.aggregate(lines, start, step, lambda s: s["marks"])
+    opened = F.exists(lines, lambda line: line["opens"].isNotNull())
+    return F.when(opened, F.aggregate(lines, start, step, lambda s: s["marks"])).otherwise(F.array().cast("array<int>"))
 
 
 def _entries(line: Column) -> Column:
     """List dashes, keys and scalars of one line, each with its column."""
-    dashes = F.regexp_extract(line["text"], _DASHES, 1)
-    rest = F.substr(line["text"], F.length(dashes) + 1)
     none = F.lit(None).cast("string")
 
     def entry(at: Column, what: str | Column, key: Column, raw: Column) -> Column:
         what = F.lit(what) if isinstance(what, str) else what
         return F.struct(at.cast("int").alias("at"), what.alias("what"), key.alias("key"), raw.alias("raw"), line["no"].alias("no"))
 
-    places = F.when(dashes != "", F.filter(F.sequence(F.lit(0), F.length(dashes) - 1), lambda i: F.substr(dashes, i + 1, F.lit(1)) == "-"))
-    items = F.transform(F.coalesce(places, F.array().cast("array<int>")), lambda i: entry(line["indent"] + i, "item", none, none))
-    keyed = rest.rlike(_KEY)
+    dashes, rest, keyed = line["dashes"], line["rest"], line["keyed"]
+    places = F.filter(F.sequence(F.lit(0), F.length(dashes) - 1), lambda i: F.substr(dashes, i + 1, F.lit(1)) == "-")
+    items = F.transform(places, lambda i: entry(line["indent"] + i, "item", none, none))
     key = F.when(keyed, _unquoted(F.regexp_extract(rest, _KEY, 1)))
-    raw = F.when(keyed, F.regexp_extract(rest, _KEY, 2)).otherwise(rest)
-    last = entry(line["indent"] + F.length(dashes), F.when(keyed, "key").otherwise("scalar"), key, raw)
-    return F.concat(items, F.when((rest != "") & ~rest.startswith("#"), F.array(last)).otherwise(F.slice(F.array(last), 1, 0)))
+    last = F.array(entry(line["indent"] + F.length(dashes), F.when(keyed, "key").otherwise("scalar"), key, line["raw"]))
+    shown = (rest != "") & ~rest.startswith("#")
+    return F.when(dashes == "", F.when(shown, last).otherwise(F.slice(last, 1, 0))).when(shown, F.concat(items, last)).otherwise(items)
 
 
 def _pathed(entries: Column) -> Column:
@@ -118,7 +143,7 @@ def _pathed(entries: Column) -> Column:
         item = e["what"] == "item"
         kept = F.filter(s["stack"], lambda o: (o["at"] < e["at"]) | (item & (o["at"] == e["at"]) & ~o["item"]))
         before = F.filter(s["stack"], lambda o: o["item"] & (o["at"] == e["at"]))
-        place = F.when(F.size(before) > 0, F.get(before, F.lit(0))["name"].cast("int") + 1).otherwise(0).cast("string")
+        place = F.coalesce(F.get(before, F.lit(0))["name"].cast("int") + 1, F.lit(0)).cast("string")
         top = F.struct(e["at"].alias("at"), F.when(item, place).otherwise(e["key"]).alias("name"), item.alias("item"))
         stack = F.when(e["what"] == "scalar", kept).otherwise(F.concat(kept, F.array(top)))
 
@@ -126,9 +151,9 @@ def _pathed(entries: Column) -> Column:
             path = F.transform(v["stack"], lambda o: o["name"])
             last = F.get(s["out"], F.size(s["out"]) - 1)
             goes_on = F.coalesce((e["what"] == "scalar") & (last["path"] == path), F.lit(False))
-            joined = F.struct(path.alias("path"), F.trim(F.concat(_plain(last["raw"]), F.lit(" "), e["raw"])).alias("raw"), last["no"].alias("no"))
+            joined = F.struct(last["path"].alias("path"), F.trim(F.concat(_plain(last["raw"]), F.lit(" "), e["raw"])).alias("raw"), last["no"].alias("no"))
             new = F.struct(path.alias("path"), F.coalesce(e["raw"], F.lit("")).alias("raw"), e["no"].alias("no"))
-            longer = F.concat(F.slice(s["out"], F.lit(1), F.size(s["out"]) - F.when(goes_on, 1).otherwise(0)), F.array(F.when(goes_on, joined).otherwise(new)))
+            longer = F.when(goes_on, F.concat(F.slice(s["out"], F.lit(1), F.size(s["out"]) - 1), F.array(joined))).otherwise(F.concat(s["out"], F.array(new)))
             return F.struct(v["stack"].alias("stack"), F.when(item, s["out"]).otherwise(longer).alias("out"))
 
         return let({"stack": stack}, added)
@@ -154,12 +179,15 @@ def _flow_json(raw: Column) -> Column:
         return F.regexp_extract(F.to_json(F.struct(text.alias("v"))), r'(?s)\A\{"v":(.*)\}\z', 1)
 
     def one(tokens: Column, t: Column, i: Column) -> Column:
-        value = _unquoted(t)
-        kind = _kind(t, value)
-        number = F.coalesce(value.try_cast("bigint").cast("string"), value.try_cast("double").cast("string"))
         is_key = F.coalesce(F.get(tokens, i + 1) == ":", F.lit(False))
-        scalar = F.when(is_key, quoted(value)).when(kind == "null", "null").when(kind == "bool", _normal(kind, value)).when(kind == "number", number)
-        return F.when(t.isin("[", "]", "{", "}", ",", ":"), t).otherwise(scalar.otherwise(quoted(value)))
+
+        def scalar(v: Column) -> Column:
+            number = F.coalesce(v["value"].try_cast("bigint").cast("string"), v["value"].try_cast("double").cast("string"))
+            text = F.when(v["is_key"], quoted(v["value"])).when(v["kind"] == "null", "null").when(v["kind"] == "bool", _normal(v["kind"], v["value"]))
+            return text.when(v["kind"] == "number", number).otherwise(quoted(v["value"]))
+
+        typed = let({"value": _unquoted(t)}, lambda v: let({"value": v["value"], "kind": _kind(t, v["value"]), "is_key": is_key}, scalar))
+        return F.when(t.isin("[", "]", "{", "}", ",", ":"), t).otherwise(typed)
 
     joined = let({"tokens": tokens}, lambda v: F.array_join(F.transform(v["tokens"], lambda t, i: one(v["tokens"], t, i)), ""))
     return F.regexp_replace(joined, r",(?=[\]}])", "")
@@ -167,20 +195,22 @@ def _flow_json(raw: Column) -> Column:
 
 def _leaves(found: Column, path: Column, line: Column, depth: int) -> Column:
     """Rows below a VARIANT, down to ``depth`` levels; what lies deeper is one row of kind unknown."""
-    kind_of = F.schema_of_variant(found)
-    text = F.try_variant_get(found, "$", "string")
-    is_map, is_list = kind_of.startswith("OBJECT"), kind_of.startswith("ARRAY")
-    kind = (
-        F.when(is_map | is_list, "unknown").when(kind_of == "VOID", "null").when(kind_of == "STRING", "string").when(kind_of == "BOOLEAN", "bool").otherwise("number")
-    )
-    leaf = F.array(F.struct(path.alias("path"), kind.alias("kind"), text.alias("value"), line.alias("line"))).cast(ROWS)
-    if depth == 0:
-        return leaf
-    pairs = F.map_entries(F.try_variant_get(found, "$", "map<string,variant>"))
-    items = F.try_variant_get(found, "$", "array<variant>")
-    below = F.flatten(F.transform(pairs, lambda p: _leaves(p["value"], F.concat(path, F.array(p["key"])), line, depth - 1)))
-    listed = F.flatten(F.transform(items, lambda x, i: _leaves(x, F.concat(path, F.array(i.cast("string"))), line, depth - 1)))
-    return F.when(is_map, below).when(is_list, listed).otherwise(leaf)
+    def below(v: Column) -> Column:
+        kind_of, text = v["kind_of"], F.try_variant_get(found, "$", "string")
+        is_map, is_list = kind_of.startswith("OBJECT"), kind_of.startswith("ARRAY")
+        kind = (
+            F.when(is_map | is_list, "unknown").when(kind_of == "VOID", "null").when(kind_of == "STRING", "string").when(kind_of == "BOOLEAN", "bool").otherwise("number")
+        )
+        leaf = F.array(F.struct(path.alias("path"), kind.alias("kind"), text.alias("value"), line.alias("line"))).cast(ROWS)
+        if depth == 0:
+            return leaf
+        pairs = F.map_entries(F.try_variant_get(found, "$", "map<string,variant>"))
+        items = F.try_variant_get(found, "$", "array<variant>")
+        mapped = F.flatten(F.transform(pairs, lambda p: _leaves(p["value"], F.concat(path, F.array(p["key"])), line, depth - 1)))
+        listed = F.flatten(F.transform(items, lambda x, i: _leaves(x, F.concat(path, F.array(i.cast("string"))), line, depth - 1)))
+        return F.when(is_map, mapped).when(is_list, listed).otherwise(leaf)
+
+    return let({"kind_of": F.schema_of_variant(found)}, below)
 
 
 def document_rows(content: Column) -> Column:
@@ -189,13 +219,7 @@ def document_rows(content: Column) -> Column:
     Kinds: string, number, bool (true or false), null, unknown. List items have their place, from 0, in the path. An
     empty text has no rows, a null one gives null; an indentation by tabs gives a row of kind unknown without path.
     """
-    text = F.regexp_replace(content, r"\r\n?", "\n")
-
-    def line(x: Column, i: Column) -> Column:
-        spaces = F.regexp_extract(x, r"\A *", 0)
-        return F.struct(
-            i.cast("int").alias("no"), F.length(spaces).alias("indent"), F.regexp_replace(F.substr(x, F.length(spaces) + 1), r"[ \t]+\z", "").alias("text")
-        )
+    text = F.when(content.contains("\r"), F.regexp_replace(content, r"\r\n?", "\n")).otherwise(content)
 
     def structured(v: Column) -> Column:
         used = F.filter(
@@ -207,15 +231,23 @@ def document_rows(content: Column) -> Column:
             def is_parent(r: Column, i: Column) -> Column:
                 after = F.get(w["out"], i + 1)["path"]
                 below = (F.size(after) > F.size(r["path"])) & (F.slice(after, F.lit(1), F.size(r["path"])) == r["path"])
-                return F.coalesce((_plain(r["raw"]) == "") & below, F.lit(False))
+                return F.coalesce(below & (_plain(r["raw"]) == ""), F.lit(False))
 
             def rows(r: Column) -> Column:
-                value = _unquoted(r["raw"])
-                kind = F.when(r["raw"].rlike(_BLOCK), "string").otherwise(_kind(r["raw"], value))
-                text = F.when(r["raw"].rlike(_BLOCK), _block_text(v["lines"], v["marks"], r["no"], r["raw"])).otherwise(_normal(kind, value))
-                plain = F.array(F.struct(r["path"].alias("path"), kind.alias("kind"), text.alias("value"), r["no"].alias("line"))).cast(ROWS)
-                flow = F.when(r["raw"].rlike(r"\A[\[{]"), F.coalesce(F.try_parse_json(value), F.try_parse_json(_flow_json(value))))
-                return let({"flow": flow}, lambda f: F.when(f["flow"].isNotNull(), _leaves(f["flow"], r["path"], r["no"], FLOW_DEPTH)).otherwise(plain))
+                block = (r["raw"].startswith("|") | r["raw"].startswith(">")) & r["raw"].rlike(_BLOCK)
+
+                def typed(x: Column) -> Column:
+                    kind = F.when(x["block"], "string").otherwise(_kind(r["raw"], x["value"]))
+                    flow = F.when(r["raw"].rlike(r"\A[\[{]"), F.coalesce(F.when(x["value"].rlike(_JSON), F.try_parse_json(x["value"])), F.try_parse_json(_flow_json(x["value"]))))
+
+                    def row(f: Column) -> Column:
+                        text = F.when(x["block"], _block_text(v["lines"], v["marks"], r["no"], r["raw"])).otherwise(_normal(f["kind"], x["value"]))
+                        plain = F.array(F.struct(r["path"].alias("path"), f["kind"].alias("kind"), text.alias("value"), r["no"].alias("line"))).cast(ROWS)
+                        return F.when(f["flow"].isNotNull(), _leaves(f["flow"], r["path"], r["no"], FLOW_DEPTH)).otherwise(plain)
+
+                    return let({"kind": kind, "flow": flow}, row)
+
+                return let({"block": block, "value": _unquoted(r["raw"])}, typed)
 
             return F.flatten(F.transform(F.filter(w["out"], lambda r, i: ~is_parent(r, i)), rows))
 
@@ -224,7 +256,7 @@ def document_rows(content: Column) -> Column:
         odd = F.array(F.struct(F.array().cast("array<string>").alias("path"), F.lit("unknown").alias("kind"), none.alias("value"), F.lit(0).alias("line"))).cast(ROWS)
         return F.when(tabs, odd).otherwise(let({"out": _pathed(entries)}, resolved))
 
-    return let({"lines": F.transform(F.split(text, "\n", -1), line)}, lambda v: let({"lines": v["lines"], "marks": _marks(v["lines"])}, structured))
+    return let({"lines": _lines(text)}, lambda v: let({"lines": v["lines"], "marks": _marks(v["lines"])}, structured))
 
 
 def document_paths(files: DataFrame, content: str = "content") -> DataFrame:
