@@ -73,7 +73,7 @@ _RESULT = """concat('{"num_turns": ', c_nationkey, ', "n_infra_errors": ', c_cus
         FROM t WHERE s IS NOT NULL OR r IS NOT NULL""",
 )
 def summary_run_files(spark, sf):
-    customers = rel.table(spark, sf, "customer")
+    customers = rel.spread(rel.table(spark, sf, "customer").select("c_custkey", "c_nationkey"))
     run, number = F.concat(F.lit("run-"), "c_custkey").alias("run_dir"), F.col("c_custkey")
 
     def written(name: str, text: str, when):
