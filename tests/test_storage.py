@@ -256,3 +256,14 @@ def test_limits_are_unset_by_default(spark):
     assert (sizes.a, sizes.b) == (5000, 3000)
     outcomes = spark.createDataFrame([(f"p{i:03}", "error") for i in range(80)], "path string, outcome string")
     assert tables.last_errors(outcomes).count() == 80 and tables.last_errors(outcomes, 50).count() == 50
+
+
+def test_criteria_of_a_long_text_of_other_headings(spark):
+    import time
+
+    other = "## x\n" * 40_000
+    headed = "a\n## Workflow\n one\n## x\n## z Workflow \n two\n\n## Else\nthree"
+    df = spark.createDataFrame([(other,), (headed,), (None,), ("---\nn: x\n---\n## Common Issues",)], "t string")
+    start = time.time()
+    assert [r[0] for r in df.select(reviews.quality_criteria(F.col("t"))).collect()] == [other, "## Workflow\n one\n## x\n## z Workflow\ntwo", None, "## Common Issues"]
+    assert time.time() - start < 30  # linear in the text

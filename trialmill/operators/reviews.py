@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from trialmill.functions.stats import ratio
+from trialmill.functions.stats import let, ratio
 from trialmill.functions.text import strip
 from trialmill.operators.textscan import scanned_files
 
@@ -117,15 +117,23 @@ def edge_case_prompts(files: DataFrame) -> DataFrame:
 
 def quality_criteria(content: Column, fallback_chars: int | None = None) -> Column:
     """The five headings of interest with their text, else the whole body (or its first ``fallback_chars``)."""
-    body = F.regexp_replace(content, r"\A---\n(?s:.*?)\n---\n", "")
-    parts = []
-    for heading in CRITERIA_HEADINGS:
-        pattern = rf"(?s)(## .*\Q{heading}\E.*?\n)(.*?)(?=\n## |\z)"
-        head, text = F.regexp_extract(body, pattern, 1), F.regexp_extract(body, pattern, 2)
-        parts.append(F.when(head != "", F.concat(strip(head), F.lit("\n"), strip(text))))
-    found = F.array_compact(F.array(*parts))
-    rest = body if fallback_chars is None else F.substring(body, 1, fallback_chars)
-    return F.when(F.size(found) > 0, F.array_join(found, "\n\n")).otherwise(rest)
+    body = F.when(content.startswith("---\n"), F.regexp_replace(content, r"\A---\n(?s:.*?)\n---\n", "")).otherwise(content)
+
+    def section(body: Column, heading: str) -> Column:
+        # without the heading, a text would be read once more from every "## " on; the last heading of the match is that of the text
+        may = body.contains(heading) & body.contains("## ")
+        whole = F.when(may, F.regexp_extract(body, rf"(?s)## .*\Q{heading}\E.*?\n.*?(?=\n## |\z)", 0))
+        head = lambda v: F.regexp_extract(v["whole"], rf"(?s)\A## .*\Q{heading}\E.*?\n", 0)
+        text = lambda v: F.substr(v["whole"], F.length(v["head"]) + 1)
+        both = let({"whole": whole}, lambda v: let({"whole": v["whole"], "head": head(v)}, lambda w: F.when(w["head"] != "", F.concat(strip(w["head"]), F.lit("\n"), strip(text(w))))))
+        return F.when(may, both)
+
+    def chosen(v: Column) -> Column:
+        rest = v["body"] if fallback_chars is None else F.substring(v["body"], 1, fallback_chars)
+        return F.when(F.size(v["found"]) > 0, F.array_join(v["found"], "\n\n")).otherwise(rest)
+
+    found = lambda v: F.array_compact(F.array(*[section(v["body"], h) for h in CRITERIA_HEADINGS]))
+    return let({"body": body}, lambda v: let({"body": v["body"], "found": found(v)}, chosen))
 
 
 def scenario_gaps(briefs: DataFrame, texts: DataFrame) -> DataFrame:
