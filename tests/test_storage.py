@@ -267,3 +267,10 @@ def test_criteria_of_a_long_text_of_other_headings(spark):
     start = time.time()
     assert [r[0] for r in df.select(reviews.quality_criteria(F.col("t"))).collect()] == [other, "## Workflow\n one\n## x\n## z Workflow\ntwo", None, "## Common Issues"]
     assert time.time() - start < 30  # linear in the text
+
+
+def test_submission_files_are_read_by_many_tasks(spark, tmp_path):
+    from trialmill.plans import submission_queries
+
+    spark.range(100).selectExpr("id AS p_partkey").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    assert submission_queries.part_files(spark, str(tmp_path)).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism

@@ -170,7 +170,7 @@ def part_files(spark, sf):
             file("supportive/big.bin", "", k % 13 == 0, 60 * 1024 * 1024),
         )
     )
-    return rel.table(spark, sf, "part").select(
+    return rel.spread(rel.table(spark, sf, "part").select("p_partkey")).select(
         F.concat(F.lit("sub-"), k).alias(SUB), F.element_at(engines, (k % 6 + 1).cast("int")).alias("eval_engine"),
         F.lit("single").alias("mode"), F.inline(rows),
     )
