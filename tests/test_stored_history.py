@@ -241,3 +241,28 @@ def test_documents_give_gate_and_certification_rows(spark):
         ("cisco", "block", 2, '{"k":[1]}', 0.5), ("quality", "warn", 0, None, None)]
     levels = {r.level: (r.passed, r.checks_failed, r.failed_checks) for r in tables.certification_rows(docs).collect()}
     assert levels == {"foundational": (True, 0, None), "trusted": (False, 1, ["c2"])}
+
+
+def test_a_bucket_of_runs_is_written_by_several_tasks(spark, tmp_path):
+    store = HistoryStore(spark, str(tmp_path), buckets=8)
+    runs = spark.range(2000).selectExpr("concat('r', id) AS pipeline_run_id").union(spark.sql("SELECT 'r1'"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store.store({"evaluation_runs": runs})
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = {(p.parent, p.name) for p in tmp_path.glob("evaluation_runs/bucket=*/batch=*/*.parquet")}
+    assert len(files) > 8
+    assert store.read("evaluation_runs").count() == 2000
+
+
+def test_documents_are_made_once_for_all_tables_of_a_batch(spark, tmp_path):
+    from trialmill.plans import history_queries as hq
+
+    lines = "id AS l_orderkey, 1 AS l_partkey, cast(1 + id % 4 AS int) AS l_linenumber, 41.0D AS l_quantity, 9.5D AS l_extendedprice, 0.1D AS l_discount, 0.0D AS l_tax, 'N' AS l_returnflag"
+    spark.sql(f"SELECT {lines} FROM range(20)").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("SELECT id AS o_orderkey, id AS o_custkey, 'F' AS o_orderstatus, '1-URGENT' AS o_orderpriority FROM range(20)").write.parquet(f"{tmp_path}/orders.parquet")
+    for rows in (hq.run_reports(hq.run_trials(spark, str(tmp_path)), "x"), hq.gate_documents(spark, str(tmp_path))):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan
+        assert rows.where("doc is not null").count() == 20

@@ -22,21 +22,33 @@ def store(spark) -> HistoryStore:
     return HistoryStore(spark, shared_folder(spark, "history"), buckets=BUCKETS)
 
 
-def run_reports(spark, sf, word: str) -> DataFrame:
-    """A report document per order: one treatment trial per line item."""
+def kept(rows: DataFrame, name: str) -> DataFrame:
+    """The rows written once to the shared folder, for inputs that every table of a batch reads again."""
+    folder = shared_folder(rows.sparkSession, name)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
+def run_trials(spark, sf) -> DataFrame:
+    """An order with its line items as trials, per row."""
     reward = F.round(F.col("l_discount") * 10, 1)
     trial = F.struct(F.concat(F.lit("t"), "l_linenumber").alias("trial_name"), reward.alias("reward"))
     lines = rel.table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
         F.array_sort(F.collect_list(trial)).alias("treatment"), F.count(F.lit(1)).alias("n")
     )
+    orders = rel.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    return kept(orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).drop("l_orderkey"), "run-trials")
+
+
+def run_reports(trials: DataFrame, word: str) -> DataFrame:
+    """A report document per order: one treatment trial per line item."""
     doc = F.struct(
         F.concat(F.lit("sub-"), "o_custkey").alias("submission_name"),
         F.struct(F.lit("harbor").alias("eval_engine")).alias("provenance"),
         F.struct(F.lit(word).alias("recommendation"), F.struct(F.col("n").alias("n_trials")).alias("treatment")).alias("summary"),
         F.struct("treatment").alias("trials"),
     )
-    rows = rel.table(spark, sf, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
-    rows = rows.select(F.concat(F.lit("r"), "o_orderkey").alias("pipeline_run_id"), F.to_json(doc).alias("artifact_text"), "o_orderstatus", "o_orderpriority")
+    rows = trials.select(F.concat(F.lit("r"), "o_orderkey").alias("pipeline_run_id"), F.to_json(doc).alias("artifact_text"), "o_orderstatus", "o_orderpriority")
     return rows.withColumn("doc", F.try_parse_json("artifact_text"))
 
 
@@ -53,7 +65,8 @@ def batch_of(reports: DataFrame) -> dict[str, DataFrame]:
 def stored_history_runs(spark, sf):
     """Finished orders first, twice with one batch id and once more without, then all orders with another verdict."""
     history = store(spark)
-    first, second = run_reports(spark, sf, "first"), run_reports(spark, sf, "second")
+    rows = run_trials(spark, sf)
+    first, second = run_reports(rows, "first"), run_reports(rows, "second")
     done = first.where("o_orderstatus = 'F'")
     for batch_id in ("day-1", "day-1", None):
         history.store(batch_of(done), batch_id)
@@ -78,7 +91,7 @@ def scans_of(orders: DataFrame, scanner: str) -> DataFrame:
 def stored_scan_rows(spark, sf):
     """Scans of urgent orders are stored by themselves before the runs come with scans of their own."""
     history = store(spark)
-    reports = run_reports(spark, sf, "x")
+    reports = run_reports(run_trials(spark, sf), "x")
     history.store({"security_scans": tables.scan_rows(scans_of(reports.where("o_orderpriority = '1-URGENT'"), "at once"))})
     history.store(batch_of(reports) | {"security_scans": tables.scan_rows(scans_of(reports, "with the run"))})
     return history.read("security_scans").select("pipeline_run_id", "scanner", "high_count")
@@ -94,7 +107,7 @@ def gate_documents(spark, sf) -> DataFrame:
     )
     cards = rel.gate_rows(spark, sf).groupBy("scorecard_id").agg(F.transform(ordered, gate).alias("gates"))
     text = F.to_json(F.struct(F.lit("sub").alias("submission_name"), F.struct(F.lit("all_pass").alias("combination")).alias("policy"), "gates"))
-    rows = cards.select(F.concat(F.lit("r"), "scorecard_id").alias("pipeline_run_id"), text.alias("artifact_text"))
+    rows = kept(cards.select(F.concat(F.lit("r"), "scorecard_id").alias("pipeline_run_id"), text.alias("artifact_text")), "gate-documents")
     return rows.withColumn("doc", F.try_parse_json("artifact_text"))
 
 

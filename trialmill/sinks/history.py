@@ -172,14 +172,20 @@ class HistoryStore:
 
     # writing
 
-    def _stage(self, rows: Mapping[str, DataFrame], fresh: DataFrame) -> tuple[str, dict[str, list[int]]]:
-        """Writes what is new of each table as partitions of one attempt; (attempt, buckets per table)."""
+    def _stage(self, rows: Mapping[str, DataFrame], fresh: DataFrame, whole: bool) -> tuple[str, dict[str, list[int]]]:
+        """Writes what is new of each table as partitions of one attempt; (attempt, buckets per table).
+
+        ``whole``: nothing has been stored before, so a table that decides by itself keeps all its runs. Rows are dealt
+        by run first: duplicates, and the join with the new runs, then need one ordering of them.
+        """
         batch = f"b-{uuid.uuid4().hex}"
         gates = {child: gate for gate, children in GROUPS.items() for child in children}
         staged = {}
         for table, df in rows.items():
-            new = df.where(F.col(RUN).isNotNull()).dropDuplicates([RUN, *KEYS[table]])
+            new = df.where(F.col(RUN).isNotNull()).repartition(RUN).dropDuplicates([RUN, *KEYS[table]])
             for gate in dict.fromkeys(g for g in (gates.get(table), table) if g in rows and (g in GROUPS or g in GUARDED)):
+                if whole and gate == table:
+                    continue
                 new = new.join(fresh.where(F.col("table") == gate).select(RUN), RUN, "left_semi")
             staged[table] = new
         staged[BITS] = self._bitmaps(fresh)
@@ -190,7 +196,8 @@ class HistoryStore:
             rows = rows.withColumn("bucket", self.bucket_of(F.col(RUN)))
         path = f"{self.folder}/{table}"
         spread = [F.col(c) for c in (RUN, *KEYS.get(table, ()), "slot") if c in rows.columns]
-        rows = rows.withColumn("batch", F.lit(batch)).repartition("bucket", F.pmod(F.xxhash64(*spread), F.lit(WRITERS)))
+        # another hash than the bucket's, whose remainders would fall together with it
+        rows = rows.withColumn("batch", F.lit(batch)).repartition("bucket", F.pmod(F.xxhash64(F.lit(1), *spread), F.lit(WRITERS)))
         rows.write.mode("append").partitionBy("bucket", "batch").parquet(f"{self.folder}/{table}")
         return sorted(int(n.split("bucket=")[-1].split("/")[0]) for n in self._names(f"{table}/bucket=*/batch={batch}"))
 
@@ -217,7 +224,7 @@ class HistoryStore:
                 fresh = reliable_checkpoint(fresh.join(known, ["table", RUN], "left_anti"))
             if fresh.isEmpty() and batch_id is None:
                 return base
-            batch, written = self._stage(rows, fresh)
+            batch, written = self._stage(rows, fresh, known is None)
             self.before_commit()
             record = {"batch": batch, "batch_id": batch_id, "tables": written, "replaced": {}}
             while not self._commit(base + 1, record):
