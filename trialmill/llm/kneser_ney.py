@@ -27,11 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialmill.llm.store import saved, shared_folder
-from trialmill.llm.words import Words, mix, slices
+from trialmill.llm.words import Words, mix, released, slices
 
 END, BEGIN = np.uint64(1), np.uint64(2)
 #: Text that a task counts before it sends blocks, and text per part of the bigrams and of the words.
-SLICE_BYTES, PART_BYTES, WORD_PART_BYTES = 8_000_000, 2_500_000, 16_000_000
+SLICE_BYTES, PART_BYTES, WORD_PART_BYTES = 4_000_000, 2_500_000, 16_000_000
 #: Words of which a task gathers figures before it sends them on.
 WORDS_HELD = 3_000_000
 
@@ -357,12 +357,12 @@ def train(docs: DataFrame) -> KneserNey:
     texts = docs.select("text")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts, word_parts = 1 + size // PART_BYTES, 1 + size // WORD_PART_BYTES
-    blocks = texts.mapInArrow(_count(parts), "part long, data binary")
+    blocks = texts.mapInArrow(released(_count(parts)), "part long, data binary")
     merged = blocks.repartition("part").sortWithinPartitions("part")
     folder = shared_folder(spark, "model")
-    merged = saved(merged.mapInArrow(_merge_bigrams(f"{folder}/bigrams", word_parts), f"part long, data binary, path string, {_SUMS}"), "words")
+    merged = saved(merged.mapInArrow(released(_merge_bigrams(f"{folder}/bigrams", word_parts)), f"part long, data binary, path string, {_SUMS}"), "words")
     words = merged.where("part is not null").select("part", "data").repartition("part").sortWithinPartitions("part")
-    words = saved(words.mapInArrow(_merge_words(f"{folder}/words"), f"path string, {_SUMS}"), "manifest")
+    words = saved(words.mapInArrow(released(_merge_words(f"{folder}/words")), f"path string, {_SUMS}"), "manifest")
     bigram_rows, word_rows = merged.where("path is not null").drop("part", "data").collect(), words.collect()
     n, w = ([sum(r[k] for r in rows) for k in ("entries", "total", "n1", "n2", "n3", "n4")] for rows in (bigram_rows, word_rows))
     return KneserNey(
@@ -375,7 +375,7 @@ def _score(model: KneserNey):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = model.reader()
         for batch in batches:
-            for lo, hi in slices(batch.column(1), SLICE_BYTES // 2):
+            for lo, hi in slices(batch.column(1), SLICE_BYTES):
                 owner, context, word = tokens(batch.column(1).slice(lo, hi - lo))
                 kinds, place = np.unique(word, return_inverse=True)
                 times, lower = reader.words(kinds)
@@ -405,7 +405,7 @@ def scored(docs: DataFrame, model: KneserNey) -> DataFrame:
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double"
-    return docs.select("doc_id", "text").mapInArrow(_score(model), schema)
+    return docs.select("doc_id", "text").mapInArrow(released(_score(model)), schema)
 
 
 def held_out():
