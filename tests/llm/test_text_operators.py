@@ -7,6 +7,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from trialmill.llm import compression, gam, jaccard_join, kneser_ney, packing, sketch, token_count
@@ -370,3 +371,17 @@ def test_empty_tables(no_docs, spark):
         gam.quality_scores(no_docs, labels), gam.keep_good(no_docs, labels),
     ):
         assert df.count() == 0
+
+
+def test_counting_bigrams_keeps_few_arrays_of_a_slice():
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    texts = [" ".join(map(str, rng.integers(0, 50_000, 1000))) for _ in range(1700)]
+    tracemalloc.start()
+    try:
+        counted = sum(len(b) for b in kneser_ney._count(4)(iter([pa.RecordBatch.from_pydict({"text": texts})])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert counted and peak < 270e6  # 329 MB with slices of 8 MB, for 10 MB of text
