@@ -44,6 +44,15 @@ def test_mix_meets_targets_and_limits(odd_docs):
     assert collections.Counter(map(tuple, rows)) == collections.Counter(map(tuple, again))
 
 
+@pytest.mark.parametrize("job", [mixing.mixed_documents])
+def test_slots_of_the_mix_are_not_broadcast(odd_docs, job):
+    found = job(odd_docs)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    joins = re.findall(r"(\w+Join) \[s#\d+, block#", plan)
+    assert "isFinalPlan=true" in plan and joins == ["SortMergeJoin"]
+
+
 def test_permutation(spark):
     from pyspark.sql import functions as F
 

@@ -108,6 +108,15 @@ def blocks_of(rows: DataFrame) -> DataFrame:
     return placed.select("row", "s", "block", (start - F.col("at")).alias("start"), (end - start).alias("words"))
 
 
+def pieces_of(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """Pieces of documents in the slots of the mix: s, block, row, start, words, shard, pass.
+
+    Spark takes the slots for as small as the counts that they are made of and would gather all of them in the driver to
+    broadcast them, so the kind of join is named.
+    """
+    return blocks_of(rows).join(draw(sources).hint("merge"), ["s", "block"])
+
+
 def mix(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, sources, pieces): pieces has a line for each part of a document in each slot of the mix.
 
@@ -138,8 +147,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     rows = with_sizes(docs.select("doc_id", "source", "text", *kept), "text", *(f"c{i}" for i in range(len(names))))
     plain = rows.select("row", "doc_id", "s", "size")
     sources = saved(targets(plain), "sources")
-    pieces = blocks_of(plain).join(draw(sources), ["s", "block"])
-    parts = pieces.groupBy("row", "pass").agg(F.sort_array(F.collect_list(F.struct("start", "words"))).alias("parts"), F.sum("words").alias("taken"))
+    parts = pieces_of(plain, sources).groupBy("row", "pass").agg(F.sort_array(F.collect_list(F.struct("start", "words"))).alias("parts"), F.sum("words").alias("taken"))
     found = rows.join(parts, "row")
     lead = F.expr(r"regexp_extract_all(text, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+', 0)")
     found = found.withColumn("spaced", F.when(F.col("taken") < F.col("size"), lead))
