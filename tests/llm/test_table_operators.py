@@ -44,7 +44,7 @@ def test_mix_meets_targets_and_limits(odd_docs):
     assert collections.Counter(map(tuple, rows)) == collections.Counter(map(tuple, again))
 
 
-@pytest.mark.parametrize("job", [mixing.mixed_documents])
+@pytest.mark.parametrize("job", [mixing.words_taken, mixing.mixed_documents])
 def test_slots_of_the_mix_are_not_broadcast(odd_docs, job):
     found = job(odd_docs)
     found.collect()

@@ -125,7 +125,7 @@ def mix(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """
     rows = with_sizes(docs)
     sources = saved(targets(rows), "sources")
-    return rows, sources, blocks_of(rows).join(draw(sources), ["s", "block"])
+    return rows, sources, pieces_of(rows, sources)
 
 
 def words_taken(docs: DataFrame) -> DataFrame:
